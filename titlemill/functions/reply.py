@@ -54,10 +54,9 @@ def _default_audience() -> Column:
     )
 
 
-def _tags(listed: Column, raw: Column) -> Column:
-    # A bare string becomes one tag. JSON text of other kinds cannot be told from a string here,
-    # so only text that is no JSON container counts.
-    single = F.when(nz(raw).isNotNull() & ~raw.rlike(r"\A\s*[\[{]"), F.array(raw))
+def _tags(listed: Column, text: Column) -> Column:
+    # A bare string becomes one tag.
+    single = F.when(nz(text).isNotNull(), F.array(text))
     return F.slice(F.coalesce(_texts(listed), single, F.array().cast("array<string>")), 1, MAX_TAGS)
 
 
@@ -67,11 +66,14 @@ def validate(reply: Column) -> Column:
     Returns struct(valid, error, description, category, tags, audience, metrics, metrics_extra).
     `valid` is false for text that is no JSON object and for a reply without a description.
     """
+    parsed = F.try_parse_json(reply)
+    tags = F.try_variant_get(parsed, "$.tags", "variant")
     bound = F.struct(
-        F.when(F.try_parse_json(reply).isNotNull(), F.from_json(reply, "map<string,string>")).alias(
-            "keys"
-        ),
+        F.when(parsed.isNotNull(), F.from_json(reply, "map<string,string>")).alias("keys"),
         F.from_json(reply, REPLY).alias("data"),
+        F.when(
+            F.schema_of_variant(tags) == "STRING", F.try_variant_get(parsed, "$.tags", "string")
+        ).alias("tag_text"),
     )
 
     def build(both: Column) -> Column:
@@ -92,7 +94,7 @@ def validate(reply: Column) -> Column:
             F.when(is_one_of(data["category"], CATEGORIES), data["category"])
             .otherwise(F.lit(DEFAULT_CATEGORY))
             .alias("category"),
-            _tags(data["tags"], keys["tags"]).alias("tags"),
+            _tags(data["tags"], both["tag_text"]).alias("tags"),
             F.when(has_audience, data["audience"]).otherwise(_default_audience()).alias("audience"),
             F.struct(
                 F.coalesce(
