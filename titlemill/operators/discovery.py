@@ -158,7 +158,8 @@ def discover(names: DataFrame, snapshots: Snapshots) -> DataFrame:
 
 def _probe(rows: DataFrame, url_status: DataFrame) -> DataFrame:
     """Add spelled and guessed: the reachable address in the title, the first reachable guess."""
-    found = F.coalesce(nz(F.col("fullurl")), F.col("google"), F.col("serp"))
+    own = F.when(F.col("website").isNull(), nz(F.col("fullurl")))
+    found = F.coalesce(own, F.col("google"), F.col("serp"))
     official = nz(strip_slashes(F.col("website")))
     tried = rows.select(
         "*", F.inline_outer(_candidates(official, found)).alias("position", "try_url")
