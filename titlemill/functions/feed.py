@@ -8,6 +8,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, functions as F
 
+from titlemill.schema import STRINGS
+
 MAX_CATEGORIES = 15
 _ATOM = "{http://www.w3.org/2005/Atom}"
 
@@ -35,7 +37,7 @@ def _categories(document: str | None) -> list[str] | None:
     ]
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(STRINGS)
 def _category_values(documents: Iterator[pd.Series]) -> Iterator[pd.Series]:
     # `xpath` fails the whole job on one malformed document and `from_xml` accepts text after the
     # root element, so the well-formedness rule needs a real parser.

@@ -17,7 +17,8 @@ from titlemill.sources.snapshots import (
     wiki_page_texts,
 )
 
-_NO_STRING = F.lit(None).cast("string")
+def _nothing(name: str) -> Column:
+    return F.lit(None).cast("string").alias(name)
 
 
 def distinct_titles(items: DataFrame) -> DataFrame:
@@ -72,7 +73,7 @@ def wiki_best(snapshots: Snapshots) -> DataFrame:
     )
     if snapshots.wd_entities is None:
         return first.select(
-            "*", _NO_STRING.alias("website"), _NO_STRING.alias("founding_year")
+            "*", _nothing("website"), _nothing("founding_year")
         )
     claims = entity_claims(snapshots.wd_entities).withColumnRenamed("qid", "entity")
     key = spread_nulls(nz(F.col("qid")), F.col("name"))
@@ -111,17 +112,17 @@ def discover(names: DataFrame, snapshots: Snapshots) -> DataFrame:
         rows = rows.join(wiki_best(snapshots), "name", "left")
     else:
         missing = ["lang", "hit_title", "qid", "fullurl", "website", "founding_year"]
-        rows = rows.select("*", *[_NO_STRING.alias(c) for c in missing])
+        rows = rows.select("*", *[_nothing(c) for c in missing])
     if snapshots.search_results is not None:
         links = first_links(snapshots.search_results).withColumnRenamed("query", "name")
         rows = rows.join(links, "name", "left")
     else:
-        rows = rows.select("*", _NO_STRING.alias("google"), _NO_STRING.alias("serp"))
+        rows = rows.select("*", _nothing("google"), _nothing("serp"))
 
     if snapshots.url_status is not None:
         rows = _probe(rows, snapshots.url_status)
     else:
-        rows = rows.select("*", _NO_STRING.alias("spelled"), _NO_STRING.alias("guessed"))
+        rows = rows.select("*", _nothing("spelled"), _nothing("guessed"))
 
     official = F.col("website").isNotNull()
     # A website of slashes only strips to nothing: later sources then apply.
@@ -181,7 +182,7 @@ def _probe(rows: DataFrame, url_status: DataFrame) -> DataFrame:
 
 def _with_extract(resolved: DataFrame, wiki_pages: DataFrame | None) -> DataFrame:
     if wiki_pages is None:
-        return resolved.select("*", _NO_STRING.alias("extract"))
+        return resolved.select("*", _nothing("extract"))
     texts = wiki_page_texts(wiki_pages).select(
         F.col("lang").alias("text_lang"), F.col("hit_title").alias("text_title"), "extract"
     )

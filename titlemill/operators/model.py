@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from titlemill.functions.text import has_items, let, nz
 from titlemill.functions.vectors import item_embedding_text
 
 ChatModel = Callable[[list[list[dict]]], list[str]]
@@ -79,24 +80,24 @@ def embed(
     is an error of its row.
     """
 
-    def vectors(texts: list[str]) -> list[tuple[list[float] | None, str | None]]:
+    def vectors(texts: list[str]) -> list[tuple[list[float], str]]:
         try:
             found = [list(v) for v in model(texts)]
             if len(found) != len(texts):
                 raise ValueError(f"{len(found)} vectors for {len(texts)} texts")
         except Exception as error:
             if len(texts) == 1:
-                return [(None, str(error) or type(error).__name__)]
+                return [([], str(error) or type(error).__name__)]
             return [vectors([text])[0] for text in texts]
         return [
-            (v, None) if len(v) == dimension else (None, f"dimension {len(v)}, not {dimension}")
+            (v, "") if len(v) == dimension else ([], f"dimension {len(v)}, not {dimension}")
             for v in found
         ]
 
     def make_predict():
         def predict(texts: np.ndarray) -> list[dict]:
             return [
-                {"embedding": vector, "error": error}
+                {"embedding": np.asarray(vector, dtype=np.float32), "error": error}
                 for vector, error in vectors([str(t) for t in texts])
             ]
 
@@ -108,7 +109,19 @@ def embed(
             T.StructField("error", T.StringType()),
         ]
     )
-    return predict_batch_udf(make_predict, return_type=result, batch_size=batch_size)
+    predict_column = predict_batch_udf(make_predict, return_type=result, batch_size=batch_size)
+
+    def apply(text: Column) -> Column:
+        # Predictions cannot be NULL: an empty vector and an empty error stand for it.
+        return let(
+            predict_column(text),
+            lambda p: F.struct(
+                F.when(has_items(p["embedding"]), p["embedding"]).alias("embedding"),
+                nz(p["error"]).alias("error"),
+            ),
+        )
+
+    return apply
 
 
 def embed_items(
@@ -121,6 +134,6 @@ def embed_items(
     vector = embed(model, batch_size, dimension)
     return (
         items.select("id", item_embedding_text().alias("text"))
-        .select("id", vector("text").alias("vector"))
+        .select("id", vector(F.col("text")).alias("vector"))
         .select("id", "vector.embedding", "vector.error")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,3 +45,9 @@ def durable(df: DataFrame) -> DataFrame:
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder beside the checkpoints, for tables a job writes and reads back."""
+    _ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from titlemill.functions.claims import founding_year, official_website
 from titlemill.functions.text import nz, strip
 
-LIVE = F.col("status") < 400
 SEARCH_DEPTH = 5
 ARTICLE_CHARS = 3000
 LANGUAGES = ["uk", "en"]
@@ -37,14 +36,18 @@ class Snapshots:
     page_snapshot: DataFrame | None = None
 
 
+def live() -> Column:
+    return F.col("status") < 400
+
+
 def reachable_urls(url_status: DataFrame) -> DataFrame:
     """url: the addresses that answered with a status below 400."""
-    return url_status.where(LIVE).select("url").distinct()
+    return url_status.where(live()).select("url").distinct()
 
 
 def page_bodies(page_snapshot: DataFrame) -> DataFrame:
     """url, body of live pages; failures are absent, so a left join gives NULL."""
-    return page_snapshot.where(LIVE & nz(F.col("body")).isNotNull()).select("url", "body")
+    return page_snapshot.where(live() & nz(F.col("body")).isNotNull()).select("url", "body")
 
 
 def best_hits(wiki_hits: DataFrame) -> DataFrame:

@@ -17,15 +17,16 @@ SHARDS = 64
 def count_or_time_batches(
     pending: DataFrame,
     size: int = BATCH_SIZE,
-    wait_ms: int = MAX_WAIT_MS,
+    wait_ms: int | None = MAX_WAIT_MS,
     shards: int = SHARDS,
 ) -> DataFrame:
     """shard, reason, ids: a batch whenever a shard holds `size` ids, or `wait_ms` after its last
     batch.
 
     Each shard keeps fewer than `size` ids in state. Entries are dealt over shards by id and
-    enqueue time, so repeats of one id do not load one shard; draining removes repeats. Time-outs
-    are checked when a trigger runs: after `availableNow` the rest is found with `unbatched`.
+    enqueue time, so repeats of one id do not load one shard; draining removes repeats. A bounded
+    run (`availableNow`) passes None for `wait_ms`, since waiting for time-outs would keep it
+    running, and finds the rest with `unbatched`.
     """
 
     def collect(
@@ -43,10 +44,14 @@ def count_or_time_batches(
                 yield pd.DataFrame({"shard": [key[0]], "reason": ["count"], "ids": [batch]})
         if held:
             state.update((held,))
-            state.setTimeoutDuration(wait_ms)
+            if wait_ms is not None:
+                state.setTimeoutDuration(wait_ms)
         elif state.exists:
             state.remove()
 
+    timeout = (
+        GroupStateTimeout.NoTimeout if wait_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    )
     shard = F.pmod(F.xxhash64("id", "enqueued_at"), F.lit(shards)).cast("int")
     return (
         pending.select("id", shard.alias("shard"))
@@ -56,7 +61,7 @@ def count_or_time_batches(
             "shard int, reason string, ids array<string>",
             "ids array<string>",
             "append",
-            GroupStateTimeout.ProcessingTimeTimeout,
+            timeout,
         )
     )
 
