@@ -77,7 +77,12 @@ def _text_nodes(fragment: Column) -> Column:
 
 def page_title(page: Column) -> Column:
     """Text of the first `<title>`; empty if there is none."""
-    return strip(unescape(F.regexp_extract(visible(page), r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)))
+    return let(visible(page), title_of)
+
+
+def title_of(clean: Column) -> Column:
+    """`page_title` of a page that `visible` has been applied to."""
+    return strip(unescape(F.regexp_extract(clean, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -87,8 +92,13 @@ def _attribute(tag: Column, name: str) -> Column:
 
 def meta_content(page: Column, attribute: str, value: str) -> Column:
     """`content` of the first `<meta>` whose `attribute` equals `value`; empty if missing."""
+    return let(visible(page), lambda clean: meta_of(clean, attribute, value))
+
+
+def meta_of(clean: Column, attribute: str, value: str) -> Column:
+    """`meta_content` of a page that `visible` has been applied to."""
     tags = F.regexp_extract_all(
-        visible(page), F.lit(r"(?i)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"), F.lit(0)
+        clean, F.lit(r"(?i)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"), F.lit(0)
     )
     named = F.filter(tags, lambda t: unescape(_attribute(t, attribute)) == value)
     return F.coalesce(strip(unescape(_attribute(F.get(named, F.lit(0)), "content"))), F.lit(""))
@@ -223,6 +233,11 @@ def body_text(page: Column) -> Column:
     The page is cut at block tags only, so a paragraph's text lies in one segment; the walk over
     the segments keeps track of the containers.
     """
+    return let(visible(page), body_text_of)
+
+
+def body_text_of(clean: Column) -> Column:
+    """`body_text` of a page that `visible` has been applied to."""
 
     def cascade(texts: Column) -> Column:
         def within(bit: int) -> Column:
@@ -232,5 +247,5 @@ def body_text(page: Column) -> Column:
         bits = [1 << position for position in range(len(_CONTAINERS))] + [_ANYWHERE]
         return F.substring(F.coalesce(*[within(bit) for bit in bits], F.lit("")), 1, MAX_BODY)
 
-    segments = F.transform(F.split(visible(page), _BLOCK), _segment)
+    segments = F.transform(F.split(clean, _BLOCK), _segment)
     return let(_walk(segments), cascade)

@@ -9,9 +9,11 @@ from titlemill.functions.feed import feed_categories, looks_like_feed
 from titlemill.functions.html import (
     MAX_BODY,
     body_text,
-    meta_content,
+    body_text_of,
+    meta_of,
     organisation_markup,
-    page_title,
+    title_of,
+    visible,
 )
 from titlemill.functions.text import let, nz, spread_nulls, strip_slashes
 from titlemill.sources.snapshots import page_bodies
@@ -23,20 +25,22 @@ FEED_PATHS = ["/feed", "/rss", "/feed.xml", "/rss.xml", "/atom.xml"]
 
 def page_signals(body: Column) -> Column:
     """Everything read from a home page, as one struct."""
+    found = F.struct(organisation_markup(body).alias("org"), visible(body).alias("clean"))
 
-    def build(org: Column) -> Column:
+    def build(page: Column) -> Column:
+        org, clean = page["org"], page["clean"]
         return F.struct(
             nz(org["name"]).alias("name"),
             nz(org["description"]).alias("description"),
             nz(org["url"]).alias("url"),
-            meta_content(body, "property", "og:title").alias("og_title"),
-            meta_content(body, "property", "og:description").alias("og_desc"),
-            meta_content(body, "name", "description").alias("meta_desc"),
-            page_title(body).alias("page_title"),
-            body_text(body).alias("body_text"),
+            meta_of(clean, "property", "og:title").alias("og_title"),
+            meta_of(clean, "property", "og:description").alias("og_desc"),
+            meta_of(clean, "name", "description").alias("meta_desc"),
+            title_of(clean).alias("page_title"),
+            body_text_of(clean).alias("body_text"),
         )
 
-    return let(organisation_markup(body), build)
+    return let(found, build)
 
 
 def _ending(url: Column, paths: list[str]) -> tuple[Column, Column]:

@@ -8,18 +8,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from titlemill.functions.slug import compact_candidates, slug_candidates, url_in_title
+from titlemill.sources.files import read_table, spread
 from titlemill.sources.snapshots import Snapshots
 
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "абцдефгхіжклмнопщрстуваєиз"
 
 
+# Tables whose rows are long texts that every query parses.
+TEXTS = ["documents", "pages"]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    scan = read_table(spark, f"{sf_dir}/{name}.parquet")
+    return spread(scan) if name in TEXTS else scan
 
 
 def _words(text: Column, start: int, count: int) -> Column:
-    return F.slice(F.split(text, " "), start, count)
+    """`count` words from word `start` on; the text behind them is not split."""
+    return F.slice(F.split(text, " ", start + count), start, count)
 
 
 def items(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,7 +65,7 @@ def outlets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("doc_id").cast("string").alias("id"),
         F.when(shape == 0, plain)
         .when(shape == 1, F.translate(F.lower(plain), LATIN, CYRILLIC))
-        .when(shape == 2, F.concat(F.get(F.split(text, " "), F.lit(0)), F.lit(".in.ua")))
+        .when(shape == 2, F.concat(F.get(_words(text, 1, 1), F.lit(0)), F.lit(".in.ua")))
         .otherwise(F.concat(F.lit("The "), F.array_join(_words(text, 1, 2), " "), F.lit(".com")))
         .alias("title"),
         "text",
