@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from titlemill.functions.slug import slug_candidates, url_in_title
 from titlemill.functions.text import nz, spread_nulls, strip_slashes
+from titlemill.operators.lookup import lookup
 from titlemill.sources.snapshots import (
     LANGUAGES,
     Snapshots,
@@ -33,8 +34,9 @@ def distinct_titles(items: DataFrame) -> DataFrame:
 def first_reachable(rows: DataFrame, key: str, candidates: Column, url_status: DataFrame) -> DataFrame:
     """key, url: the first reachable candidate of each row; rows without one are absent."""
     tried = rows.select(key, F.posexplode(candidates).alias("position", "url"))
+    known = reachable_urls(url_status).withColumnRenamed("url", "live_url")
     return (
-        tried.join(reachable_urls(url_status), "url", "left_semi")
+        lookup(tried, known, [(F.col("url"), "live_url")], "left_semi")
         .groupBy(key)
         .agg(F.min_by("url", "position").alias("url"))
     )
@@ -64,7 +66,11 @@ def wiki_best(snapshots: Snapshots) -> DataFrame:
             )
         ),
     )
-    pages = tries.join(wiki_page_links(snapshots.wiki_pages), ["lang", "hit_title"])
+    links = wiki_page_links(snapshots.wiki_pages).select(
+        F.col("lang").alias("page_lang"), F.col("hit_title").alias("page_title"), "qid", "fullurl"
+    )
+    same = [(F.col("lang"), "page_lang"), (F.col("hit_title"), "page_title")]
+    pages = lookup(tries, links, same, "inner")
     columns = ["lang", "hit_title", "qid", "fullurl"]
     first = (
         pages.groupBy("name")
@@ -77,7 +83,7 @@ def wiki_best(snapshots: Snapshots) -> DataFrame:
         )
     claims = entity_claims(snapshots.wd_entities).withColumnRenamed("qid", "entity")
     key = spread_nulls(nz(F.col("qid")), F.col("name"))
-    return first.join(claims, key == F.col("entity"), "left").drop("entity")
+    return lookup(first, claims, [(key, "entity")]).drop("entity")
 
 
 def _candidates(website: Column, found: Column) -> Column:
@@ -167,7 +173,7 @@ def _probe(rows: DataFrame, url_status: DataFrame) -> DataFrame:
     )
     known = reachable_urls(url_status).withColumnRenamed("url", "live_url")
     key = spread_nulls(F.col("try_url"), F.col("name"))
-    answered = tried.join(known, key == F.col("live_url"), "left")
+    answered = lookup(tried, known, [(key, "live_url")])
     live = F.when(F.col("live_url").isNotNull(), F.struct("position", "try_url"))
     return (
         answered.groupBy(*rows.columns)
@@ -188,5 +194,5 @@ def _with_extract(resolved: DataFrame, wiki_pages: DataFrame | None) -> DataFram
     )
     # Titles without a page carry a key that matches nothing and spreads evenly.
     key = spread_nulls(F.col("hit_title"), F.col("name"))
-    same = (key == F.col("text_title")) & (F.coalesce("lang", F.lit("")) == F.col("text_lang"))
-    return resolved.join(texts, same, "left")
+    lang = F.coalesce("lang", F.lit(""))
+    return lookup(resolved, texts, [(key, "text_title"), (lang, "text_lang")])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # A key is split once it holds more than 1/MAX_HOT_KEYS of all rows. Fewer than MAX_HOT_KEYS keys
 # can do so, which bounds what is broadcast to that many (hash, copies) pairs.
@@ -10,6 +10,22 @@ MAX_HOT_KEYS = 2_000
 MAX_COPIES = 256
 
 
+def lookup(
+    rows: DataFrame, table: DataFrame, keys: list[tuple[Column, str]], how: str = "left"
+) -> DataFrame:
+    """Join `rows` with a table that has one row per key, where many rows may share a key.
+
+    Adaptive execution splits a skewed partition of `rows` only if both sides of the join come
+    straight from a shuffle. A deduplicated table would instead keep the partitions of its own
+    aggregation. The hash joins in as a further key, so both sides are shuffled for this join;
+    the extra move is of one row per key.
+    """
+    condition = F.xxhash64(*[k for k, _ in keys]) == F.xxhash64(*[F.col(c) for _, c in keys])
+    for key, column in keys:
+        condition = (key == F.col(column)) & condition
+    return rows.join(table, condition, how)
+
+
 def salted_lookup(
     rows: DataFrame, table: DataFrame, key: str, weight: str, spread_by: str
 ) -> DataFrame:
@@ -30,7 +46,8 @@ def salted_lookup(
     )
 
     def with_copies(df: DataFrame) -> DataFrame:
-        return df.withColumn("_hash", F.xxhash64(key)).join(F.broadcast(hot), "_hash", "left").drop("_hash")
+        hashed = df.withColumn("_hash", F.xxhash64(key))
+        return hashed.join(F.broadcast(hot), "_hash", "left").drop("_hash")
 
     dealt = F.pmod(F.xxhash64(spread_by), F.coalesce("_copies", F.lit(1))).cast("int")
     left = with_copies(rows).withColumn("_salt", dealt).drop("_copies")

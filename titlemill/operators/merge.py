@@ -58,9 +58,11 @@ def merge_vectors(items: DataFrame, vectors: DataFrame, order: str | None = None
 
 def unwritten(requested: DataFrame, written: DataFrame) -> DataFrame:
     """Requested ids that were not written, once each: the set to queue again."""
-    return requested.select("id").distinct().join(written.select("id"), "id", "left_anti")
+    return requested.select("id").distinct().join(
+        written.select("id").distinct(), "id", "left_anti"
+    )
 
 
 def remaining(todo: DataFrame, done: DataFrame, key: str = "id") -> DataFrame:
     """Rows of `todo` without a finished counterpart."""
-    return todo.join(done.select(key), key, "left_anti")
+    return todo.join(done.select(key).distinct(), key, "left_anti")

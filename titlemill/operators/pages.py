@@ -16,6 +16,7 @@ from titlemill.functions.html import (
     visible,
 )
 from titlemill.functions.text import let, nz, spread_nulls, strip_slashes
+from titlemill.operators.lookup import lookup
 from titlemill.sources.snapshots import page_bodies
 
 # Sub-pages looked for below a site's address, in this order.
@@ -126,9 +127,7 @@ def with_context(discovered: DataFrame, page_snapshot: DataFrame | None) -> Data
         # Many names may share one address: the names are the probe side, which adaptive
         # execution splits; names without a site carry keys that spread evenly.
         key = spread_nulls(F.when(wants_site, url), F.col("name"))
-        rows = discovered.join(
-            site_signals(page_snapshot), key == F.col("site_url"), "left"
-        )
+        rows = lookup(discovered, site_signals(page_snapshot), [(key, "site_url")])
     site = site_context(
         F.col("name"),
         F.col("signals.name"),

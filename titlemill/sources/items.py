@@ -51,7 +51,10 @@ def single_item(items: DataFrame, item_id: str) -> DataFrame:
 
 
 def fetch_for_embedding(items: DataFrame, ids: DataFrame) -> DataFrame:
-    """Enriched items among `ids`, once each, with every column the embedding text reads."""
+    """Enriched items among `ids`, once each, with every column the embedding text reads.
+
+    Repeated ids collapse before the shuffle, so an id queued very often stays cheap.
+    """
     return items.where(~unenriched()).select(
         "id",
         "title",
@@ -62,7 +65,7 @@ def fetch_for_embedding(items: DataFrame, ids: DataFrame) -> DataFrame:
         "metrics",
         "format_type",
         "language",
-    ).join(ids.select("id"), "id", "left_semi")
+    ).join(ids.select("id").distinct(), "id", "left_semi")
 
 
 def write_bucketed(items: DataFrame, table: str, buckets: int) -> None:

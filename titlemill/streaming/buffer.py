@@ -68,5 +68,5 @@ def count_or_time_batches(
 
 def unbatched(pending: DataFrame, batches: DataFrame) -> DataFrame:
     """Ids no emitted batch holds yet: the tail to flush after a bounded run."""
-    emitted = batches.select(F.explode("ids").alias("id"))
+    emitted = batches.select(F.explode("ids").alias("id")).distinct()
     return pending.select("id").distinct().join(emitted, "id", "left_anti")
