@@ -92,14 +92,18 @@ def _attribute(tag: Column, name: str) -> Column:
 
 def meta_content(page: Column, attribute: str, value: str) -> Column:
     """`content` of the first `<meta>` whose `attribute` equals `value`; empty if missing."""
-    return let(visible(page), lambda clean: meta_of(clean, attribute, value))
+    return let(meta_tags(visible(page)), lambda tags: meta_of(tags, attribute, value))
 
 
-def meta_of(clean: Column, attribute: str, value: str) -> Column:
-    """`meta_content` of a page that `visible` has been applied to."""
-    tags = F.regexp_extract_all(
+def meta_tags(clean: Column) -> Column:
+    """All `<meta>` tags of a page that `visible` has been applied to."""
+    return F.regexp_extract_all(
         clean, F.lit(r"(?i)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"), F.lit(0)
     )
+
+
+def meta_of(tags: Column, attribute: str, value: str) -> Column:
+    """`meta_content` from the tags of a page."""
     named = F.filter(tags, lambda t: unescape(_attribute(t, attribute)) == value)
     return F.coalesce(strip(unescape(_attribute(F.get(named, F.lit(0)), "content"))), F.lit(""))
 
@@ -165,6 +169,9 @@ def _opened(tag: Column, name: Column) -> Column:
             opens = F.array_contains(F.split(_attribute(tag, "class"), r"\s+"), value)
         else:
             opens = _attribute(tag, kind) == value
+        if kind != "name":
+            # Few tags mention the value at all; only those are taken apart.
+            opens = F.contains(tag, F.lit(value)) & opens
         mask = mask + F.when(opens, F.lit(1 << position)).otherwise(F.lit(0))
     return mask
 

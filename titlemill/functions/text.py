@@ -14,9 +14,20 @@ BLANKS = (
 )
 
 
+# The same characters, one by one.
+BLANK_CHARACTERS = "".join(
+    chr(c)
+    for first, last in (
+        (0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
+        (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000),
+    )
+    for c in range(first, last + 1)
+)
+
+
 def strip(text: Column) -> Column:
-    """Remove leading and trailing Unicode blanks (`trim` removes spaces only)."""
-    return F.regexp_replace(text, rf"^[{BLANKS}]+|[{BLANKS}]+\z", "")
+    """Remove leading and trailing Unicode blanks; only the ends of the text are looked at."""
+    return F.btrim(text, F.lit(BLANK_CHARACTERS))
 
 
 def nz(text: Column) -> Column:

@@ -11,6 +11,7 @@ from titlemill.functions.html import (
     body_text,
     body_text_of,
     meta_of,
+    meta_tags,
     organisation_markup,
     title_of,
     visible,
@@ -26,22 +27,29 @@ FEED_PATHS = ["/feed", "/rss", "/feed.xml", "/rss.xml", "/atom.xml"]
 
 def page_signals(body: Column) -> Column:
     """Everything read from a home page, as one struct."""
-    found = F.struct(organisation_markup(body).alias("org"), visible(body).alias("clean"))
+
+    def read(clean: Column) -> Column:
+        found = F.struct(
+            organisation_markup(body).alias("org"),
+            meta_tags(clean).alias("metas"),
+            clean.alias("clean"),
+        )
+        return let(found, build)
 
     def build(page: Column) -> Column:
-        org, clean = page["org"], page["clean"]
+        org, metas, clean = page["org"], page["metas"], page["clean"]
         return F.struct(
             nz(org["name"]).alias("name"),
             nz(org["description"]).alias("description"),
             nz(org["url"]).alias("url"),
-            meta_of(clean, "property", "og:title").alias("og_title"),
-            meta_of(clean, "property", "og:description").alias("og_desc"),
-            meta_of(clean, "name", "description").alias("meta_desc"),
+            meta_of(metas, "property", "og:title").alias("og_title"),
+            meta_of(metas, "property", "og:description").alias("og_desc"),
+            meta_of(metas, "name", "description").alias("meta_desc"),
             title_of(clean).alias("page_title"),
             body_text_of(clean).alias("body_text"),
         )
 
-    return let(found, build)
+    return let(visible(body), read)
 
 
 def _ending(url: Column, paths: list[str]) -> tuple[Column, Column]:
