@@ -59,10 +59,13 @@ def unescape(text: Column) -> Column:
         rest = F.substr(part, F.length(name) + 2)
         return F.when(position == 0, part).otherwise(F.concat(_entity(name), rest))
 
-    return F.when(
-        F.contains(text, F.lit("&")),
-        F.array_join(F.transform(F.split(text, _ENTITY), piece), ""),
-    ).otherwise(text)
+    def decode(bound: Column) -> Column:
+        return F.when(
+            F.contains(bound, F.lit("&")),
+            F.array_join(F.transform(F.split(bound, _ENTITY), piece), ""),
+        ).otherwise(bound)
+
+    return let(text, decode)
 
 
 def visible(page: Column) -> Column:
@@ -86,8 +89,13 @@ def title_of(clean: Column) -> Column:
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    value = rf"(?is)[\s\"'/]{name}\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    return F.concat(*[F.regexp_extract(tag, value, group) for group in (1, 2, 3)])
+    pattern = rf"(?is)[\s\"'/]{name}\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)"
+
+    def unquoted(value: Column) -> Column:
+        quoted = F.substring(value, 1, 1).isin('"', "'")
+        return F.when(quoted, F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
+
+    return let(F.regexp_extract(tag, pattern, 1), unquoted)
 
 
 def meta_content(page: Column, attribute: str, value: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from titlemill.functions.context import best_description, longer_about, route_context, site_context
 from titlemill.functions.feed import feed_categories, looks_like_feed
@@ -93,25 +93,62 @@ def feed_pages(page_snapshot: DataFrame) -> DataFrame:
 
 
 def site_signals(page_snapshot: DataFrame) -> DataFrame:
-    """One row per live page taken as a home page, with about text and feed categories.
+    """site_url, signals, about_text, rss_categories: each live page taken as a home page.
 
-    Bodies are cut to signals where they are read and never shuffled. The result depends on the
-    crawl alone, so it can be stored with the crawl and used by many runs.
+    One scan reads every role of a page: as a home page, and as a sub-page of the site above it.
+    Bodies are cut to signals where they are read and never shuffled. Copies of a page collapse
+    before the first shuffle, so the window holds one home page per spelling of an address and one
+    page per known path. The result depends on the crawl alone: it can be stored with the crawl
+    and used by many runs.
     """
-    home = (
-        page_bodies(page_snapshot)
-        .select("url", page_signals(F.col("body")).alias("signals"))
-        .groupBy(F.col("url").alias("site_url"))
-        .agg(F.min("signals").alias("signals"))
-        .withColumn("base", strip_slashes(F.col("site_url")))
+    body = F.col("body")
+    about_position, about_base = _ending(F.col("url"), ABOUT_PATHS)
+    feed_position, feed_base = _ending(F.col("url"), FEED_PATHS)
+    is_feed = feed_position.isNotNull() & looks_like_feed(body)
+    read = page_bodies(page_snapshot).select(
+        "url",
+        page_signals(body).alias("signals"),
+        feed_categories(F.when(is_feed, body)).alias("categories"),
     )
-    joined = home.join(about_pages(page_snapshot), "base", "left").join(
-        feed_pages(page_snapshot), "base", "left"
+
+    def entry(kind: str, base: Column, position: Column) -> Column:
+        home, about = F.lit(kind == "home"), F.lit(kind == "about")
+        return F.struct(
+            base.alias("base"),
+            F.when(home, F.col("url")).alias("site_url"),
+            F.lit(kind).alias("kind"),
+            position.alias("position"),
+            F.when(home, F.col("signals")).alias("signals"),
+            F.when(about, F.col("signals.body_text")).alias("about_body"),
+            F.when(~home & ~about, F.col("categories")).alias("categories"),
+        )
+
+    roles = F.array(
+        entry("home", strip_slashes(F.col("url")), F.lit(0)),
+        entry("about", about_base, about_position),
+        entry("feed", feed_base, feed_position),
     )
-    about = F.substring(longer_about(F.col("about_body"), F.col("signals.body_text")), 1, MAX_BODY)
-    return joined.select(
-        "site_url", "signals", about.alias("about_text"), "rss_categories"
+    entries = read.select(F.inline(F.filter(roles, lambda r: r["position"].isNotNull())))
+    pages = (
+        entries.groupBy("base", "site_url", "kind", "position")
+        .agg(F.min(F.struct("signals", "about_body", "categories")).alias("page"))
+        .select("base", "site_url", "kind", "position", "page.*")
     )
+    site = Window.partitionBy("base")
+
+    def first(kind: str, value: str) -> Column:
+        found = F.when(F.col("kind") == kind, F.struct("position", value))
+        return F.min(found).over(site)[value]
+
+    joined = pages.select(
+        "site_url",
+        "kind",
+        "signals",
+        first("about", "about_body").alias("about_body"),
+        first("feed", "categories").alias("rss_categories"),
+    ).where(F.col("kind") == "home")
+    about = F.substring(longer_about(F.col("about_body"), F.col("signals.body_text")), 1, MAX_BODY)
+    return joined.select("site_url", "signals", about.alias("about_text"), "rss_categories")
 
 
 def with_context(discovered: DataFrame, page_snapshot: DataFrame | None) -> DataFrame:
