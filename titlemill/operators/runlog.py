@@ -68,13 +68,13 @@ def write_totals(vectors: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_status(items: DataFrame, pending: DataFrame) -> DataFrame:
+def backlog(items: DataFrame, pending: DataFrame) -> DataFrame:
     """One row: unenriched items and depth of the pending queue."""
-    counts = items.agg(F.count_if(F.col("description").isNull()).alias("unenriched"))
+    zero = F.lit(0).cast("bigint")
+    waiting = items.agg(F.count_if(F.col("description").isNull()).alias("unenriched"))
     depth = pending.agg(F.count("*").alias("pending"))
-    return counts.select(F.lit(1).alias("_one"), "unenriched").join(
-        depth.select(F.lit(1).alias("_one"), "pending"), "_one"
-    ).drop("_one")
+    both = waiting.withColumn("pending", zero).unionByName(depth.withColumn("unenriched", zero))
+    return both.agg(F.sum("unenriched").alias("unenriched"), F.sum("pending").alias("pending"))
 
 
 def write_report(log: DataFrame, vectors: DataFrame | None, folder: str) -> None:

@@ -92,20 +92,23 @@ def drain_batch(
     if not retry.isEmpty():
         retry.write.mode("overwrite").parquet(f"{store.pending}/requeued={batch_id}")
 
-    ids = wanted.agg(F.count("*").alias("total")).select(F.lit(1).alias("_one"), "total")
-    outcome = vectors.agg(
+    outcome = wanted.join(
+        vectors.select("id", "embedding", F.lit(True).alias("fetched")), "id", "left"
+    )
+    counts = outcome.agg(
         F.count_if(F.col("embedding").isNotNull()).alias("processed"),
-        F.count_if(F.col("embedding").isNull()).alias("failed"),
-    ).select(F.lit(1).alias("_one"), "processed", "failed")
+        F.count_if(F.col("fetched") & F.col("embedding").isNull()).alias("failed"),
+        F.count("*").alias("total"),
+    )
     status = (
         F.when(F.col("total") == 0, F.lit("empty"))
         .when(F.col("processed") + F.col("failed") == 0, F.lit("no_items"))
         .when(F.col("processed") == 0, F.lit("api_error"))
         .otherwise(F.lit("ok"))
     )
-    ids.join(outcome, "_one").select(
-        status.alias("status"), "processed", "failed", "total"
-    ).write.mode("overwrite").parquet(f"{store.results}/batch_id={batch_id}")
+    counts.select(status.alias("status"), "processed", "failed", "total").write.mode(
+        "overwrite"
+    ).parquet(f"{store.results}/batch_id={batch_id}")
 
 
 def start_drain(

@@ -255,7 +255,7 @@ SQL = {
         f"SELECT count(*) AS unenriched, least(count(*), {RUN_CAP}) AS queued FROM items WHERE description IS NULL",
     ),
     "rerun_one": ("items", "SELECT id, title FROM items WHERE id = '7'"),
-    "pipeline_status": (
+    "backlog": (
         "items",
         "SELECT (SELECT count(*) FROM items WHERE description IS NULL) AS unenriched, "
         "(SELECT count(*) FROM labels) AS pending",

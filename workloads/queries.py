@@ -55,8 +55,8 @@ def rerun_one(spark, sf_dir):
     return item_source.single_item(derive.items(spark, sf_dir), "7")
 
 
-def pipeline_status(spark, sf_dir):
-    return runlog.pipeline_status(derive.items(spark, sf_dir), _label_ids(spark, sf_dir))
+def backlog(spark, sf_dir):
+    return runlog.backlog(derive.items(spark, sf_dir), _label_ids(spark, sf_dir))
 
 
 def embedding_fetch(spark, sf_dir):
@@ -497,7 +497,7 @@ QUERIES: dict[str, Query] = {
     "unenriched_count": unenriched_count,
     "dispatch_estimate": dispatch_estimate,
     "rerun_one": rerun_one,
-    "pipeline_status": pipeline_status,
+    "backlog": backlog,
     "embedding_fetch": embedding_fetch,
     "embedding_text": embedding_text,
     "latin_slug": latin_slug,
