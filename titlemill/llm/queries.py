@@ -6,14 +6,22 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemill.llm import mixing, pieces, rules, secrets, tokens
+from titlemill.llm import fingerprints, mixing, neardup, pieces, rules, secrets, spans, tokens
 from titlemill.llm.common import documents
 
 
+def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_fingerprints(documents(spark, sf_dir))
+
+
 def op3_piece_encoding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_decode(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spans.without_repeats(documents(spark, sf_dir))
+
+
 def op5_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(documents(spark, sf_dir)).select(
         "doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "copies"
@@ -42,5 +50,15 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
-QUERIES = {f.__name__: f for f in (op3_piece_encoding, op5_source_mixing, op6_secret_scan, op7_quality_rules, op8_token_counts)}
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, sf_dir)).drop("_hash")
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_order_minhash, op3_piece_encoding, op4_sentence_spans, op5_source_mixing, op6_secret_scan, op7_quality_rules, op8_token_counts,
+        op10_near_duplicates,
+    )
+}
 SQL: dict[str, str] = {}
