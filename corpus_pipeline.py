@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from titlemill.llm import mixing, pieces, rules, secrets
+from titlemill.llm import mixing, neardup, pieces, rules, secrets
 from titlemill.llm.common import documents, stored
 
 
@@ -14,6 +14,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.passing(docs)
 
 
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one row of each group of near duplicates: five-word shingles, similarity 0.8."""
+    return neardup.representatives(docs)
+
+
 def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Masks every secret; keeps every row."""
     return secrets.redact(docs)
@@ -31,6 +36,7 @@ def piece_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 STAGES = [
     ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
     ("secret scans", secret_scans),
     ("mixing sources to target weights", source_mixing),
     ("SentencePiece encoding and decoding", piece_encoding),

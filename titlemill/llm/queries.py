@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemill.llm import fingerprints, mixing, neardup, pieces, rules, secrets, spans, tokens
+from titlemill.llm import fingerprints, mixing, neardup, pieces, ruleensemble, rules, runindex, secrets, spans, tokens
 from titlemill.llm.common import documents
 
 
+def op1_run_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runindex.without_repeats(documents(spark, sf_dir))
+
+
 def op2_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(documents(spark, sf_dir))
 
@@ -50,6 +54,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op9_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ruleensemble.scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).drop("_hash")
 
@@ -57,8 +65,8 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_order_minhash, op3_piece_encoding, op4_sentence_spans, op5_source_mixing, op6_secret_scan, op7_quality_rules, op8_token_counts,
-        op10_near_duplicates,
+        op1_run_index, op2_order_minhash, op3_piece_encoding, op4_sentence_spans, op5_source_mixing, op6_secret_scan, op7_quality_rules, op8_token_counts,
+        op9_rule_ensemble, op10_near_duplicates,
     )
 }
 SQL: dict[str, str] = {}
