@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from titlemill.llm.common import blocks, partitions, stored, whole_text
 from titlemill.llm.components import least_members
+from titlemill.operators.lookup import lookup
 
 #: Independent trees. A pair of similarity s shares the first branch of a tree with chance s.
 TREES = 10
@@ -71,8 +72,9 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
 
 
 def _minima(tokens: np.ndarray) -> np.ndarray:
+    # tokens are mixed hashes, so a product and a sum order them afresh for each slot
     odd, add = _multipliers()
-    return np.array([_scramble(tokens * a + b).min() for a, b in zip(odd, add, strict=True)])
+    return np.array([(tokens * a + b).min() for a, b in zip(odd, add, strict=True)])
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
@@ -105,7 +107,7 @@ def _shared(rows: DataFrame, least: int = 2) -> tuple[DataFrame, DataFrame]:
     """Rows of nodes with `least` members to LEAF, and of larger ones with their size `n`."""
     counts = rows.groupBy("node").agg(F.count("*").alias("n")).where(F.col("n") >= least)
     named = counts.withColumnRenamed("node", "_node")
-    sized = stored(rows.join(named, rows["node"] == named["_node"]).drop("_node"), "nodes")
+    sized = stored(lookup(rows, named, [(rows["node"], "_node")], "inner").drop("_node"), "nodes")
     return sized.where(F.col("n") <= LEAF).drop("n"), sized.where(F.col("n") > LEAF)
 
 
