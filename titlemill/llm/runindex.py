@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from titlemill.llm.common import blocks, stored, whole_text
+from titlemill.operators.lookup import lookup
 
 #: Bytes of a string that is removed where it also starts elsewhere.
 LENGTH = 400
@@ -94,7 +95,7 @@ class RunIndex:
             symbol[self.left <= k] = 0
             key = (key << 9) | symbol
         ranks, reach = [], self.SYMBOLS
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         rank = self._ranked(key, order)
         while True:
             ranks.append((reach, rank))
@@ -105,7 +106,7 @@ class RunIndex:
             second[inside] = rank[np.flatnonzero(inside) + reach].astype(np.int64) + len(contexts)
             second[~inside] = owner[~inside]
             key = rank.astype(np.int64) * (size + len(contexts) + 1) + second
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             rank = self._ranked(key, order)
             reach *= 2
         before = np.empty(size, dtype=np.int32)
@@ -208,7 +209,7 @@ def _with_rows(docs: DataFrame, lists: DataFrame, columns: list[str], how: str)
 
 
 def shared_contexts(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """k, c, n, off, data: each distinct context of anchors met twice or more, with its copies."""
+    """k, c, n, off, data: each distinct context of anchors with two or more, with its copies."""
     each = rows.groupBy("k", "c").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "_hash", "at", "len", "off")).alias("of")
     )
@@ -299,7 +300,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     Each window of LENGTH bytes belongs to its anchor. Windows next to each other with one anchor
     make a context; equal windows lie in contexts of equal anchors, so only anchors met twice
-    matter, found by counting narrow rows. Their distinct contexts go, by anchor, to buckets of
+    matter, found by counting narrow rows. An anchor whose contexts are all equal needs no index:
+    each is covered whole by its copies. The distinct contexts of the others go, by anchor, to buckets of
     bounded size; each builds a run-length index and streams matching statistics. Anchors with
     very many distinct contexts are settled by window instead, exactly as well, so no task gets an
     unbounded group.
@@ -310,9 +312,14 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     """
     table = stored(anchored(docs), "anchors")
     rows = table.select("doc_id", "_hash", F.explode("anchors").alias("a")).select("doc_id", "_hash", "a.*")
-    met = rows.groupBy("k").agg(F.count("*").alias("all")).where(F.col("all") > 1).select(F.col("k").alias("_k"))
-    shared = stored(rows.join(met, rows["k"] == met["_k"]).drop("_k"), "shared")
-    contexts = stored(shared_contexts(docs, shared), "contexts")
+    met = (
+        rows.groupBy("k")
+        .agg(F.count("*").alias("all"), (F.min("c") != F.max("c")).alias("differ"))
+        .where(F.col("all") > 1)
+        .select(F.col("k").alias("_k"), "differ")
+    )
+    shared = stored(lookup(rows, met, [(rows["k"], "_k")], "inner").drop("_k"), "shared")
+    contexts = stored(shared_contexts(docs, shared.where("differ")), "contexts")
     sizes = contexts.groupBy("k").agg(F.count("*").alias("held"), F.sum(F.length("data")).alias("bytes"))
     large = stored(sizes.where(F.col("held") > LARGEST).select(F.col("k").alias("_k")), "large")
     total = contexts.agg(F.coalesce(F.sum(F.length("data")), F.lit(0))).first()[0]
@@ -321,9 +328,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     if not large.isEmpty():
         marks = marks.union(window_marks(contexts.join(large, contexts["k"] == large["_k"], "left_semi").select("k", "c", "n", "off", "data")))
     named = stored(marks, "marks").withColumnsRenamed({"k": "_k", "c": "_c"})
-    covered = shared.join(named, (shared["k"] == named["_k"]) & (shared["c"] == named["_c"])).groupBy(
-        F.col("doc_id").alias("_doc"), F.col("_hash").alias("_of")
-    ).agg(F.collect_list(F.struct((F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high")).alias("high"))).alias("gone"))
+    # where all contexts of an anchor are equal, each has a copy and goes whole
+    equal = shared.where(~F.col("differ")).select("doc_id", "_hash", "at", (F.col("at") + F.col("len")).alias("end"))
+    several = shared.where("differ")
+    placed = lookup(several, named, [(several["k"], "_k"), (several["c"], "_c")], "inner").select(
+        "doc_id", "_hash", (F.col("at") + F.col("low")).alias("at"), (F.col("at") + F.col("high")).alias("end")
+    )
+    covered = placed.union(equal).groupBy(F.col("doc_id").alias("_doc"), F.col("_hash").alias("_of")).agg(
+        F.collect_list(F.struct(F.col("at").alias("low"), F.col("end").alias("high"))).alias("gone")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "data"):
