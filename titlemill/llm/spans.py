@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from titlemill.llm.common import blocks, stored, whole_text
 
-#: Sentences per span, and fewest words of a span that counts.
+#: Fewest sentences and words of a span: one starts at each sentence and is as short as both allow.
 SPAN = 2
 LEAST_WORDS = 10
 #: A longer sentence is cut after so many words, so that a single long one has spans too.
@@ -46,23 +46,38 @@ def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
+def runs(lengths: list[int]) -> list[tuple[int, int]]:
+    """First and last-but-one sentence of every span, for sentences of so many words; the last
+    sentence of a text ends one in any case."""
+    found, end, held = [], 0, 0
+    for at, own in enumerate(lengths):
+        while end < len(lengths) and (held < LEAST_WORDS or end - at < SPAN):
+            held += lengths[end]
+            end += 1
+        if held < LEAST_WORDS or end - at < SPAN:
+            break
+        found.append((at, end))
+        held -= own
+    if found and found[-1][1] < len(lengths):
+        found.append((found[-1][0], len(lengths)))
+    return found
+
+
 def spans_of(docs: DataFrame) -> DataFrame:
     """doc_id, _hash, number of sentences and the spans (two hash halves, place) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32())]))
+        kind = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64()), ("at", pa.int32()), ("end", pa.int32())]))
         for batch in blocks(batches, "text"):
             counts, spans = [], []
             for text in batch.column(2).to_pylist():
                 bodies = [s.split() for s in sentences(text)]
                 own = []
-                for at in range(len(bodies) - SPAN + 1):
-                    run_of = bodies[at : at + SPAN]
-                    if sum(map(len, run_of)) >= LEAST_WORDS:
-                        value = xxhash.xxh3_128_intdigest("\n".join(map(" ".join, run_of)))
-                        own.append((_signed(value >> 64), _signed(value & (1 << 64) - 1), at))
+                for at, end in runs([len(b) for b in bodies]):
+                    value = xxhash.xxh3_128_intdigest("\n".join(map(" ".join, bodies[at:end])))
+                    own.append({"a": _signed(value >> 64), "b": _signed(value & (1 << 64) - 1), "at": at, "end": end})
                 counts.append(len(bodies))
-                spans.append([{"a": a, "b": b, "at": at} for a, b, at in own])
+                spans.append(own)
             yield pa.record_batch(
                 [batch.column(0), batch.column(1), pa.array(counts, pa.int64()), pa.array(spans, kind)],
                 names=["doc_id", "_hash", "n_sentences", "spans"],
@@ -70,14 +85,14 @@ def spans_of(docs: DataFrame) -> DataFrame:
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select("doc_id", F.xxhash64(whole_text()).alias("_hash"), whole_text().alias("text"))
-    schema = f"doc_id {id_type}, _hash long, n_sentences long, spans array<struct<a:long,b:long,at:int>>"
+    schema = f"doc_id {id_type}, _hash long, n_sentences long, spans array<struct<a:long,b:long,at:int,end:int>>"
     return narrow.mapInArrow(run, schema)
 
 
 def repeated_sentences(docs: DataFrame) -> DataFrame:
     """_doc, _of (text hash), _gone: sentences covered by a span that is not the first of its kind."""
     table = stored(spans_of(docs), "spans")
-    rows = table.select("doc_id", "_hash", F.explode("spans").alias("s")).select("doc_id", "_hash", "s.a", "s.b", "s.at")
+    rows = table.select("doc_id", "_hash", F.explode("spans").alias("s")).select("doc_id", "_hash", "s.a", "s.b", "s.at", "s.end")
     # partial aggregation first: a span in a third of all rows arrives as one row per task
     first = stored(
         rows.groupBy("a", "b")
@@ -89,15 +104,15 @@ def repeated_sentences(docs: DataFrame) -> DataFrame:
     found = rows.join(first, (rows["a"] == first["_a"]) & (rows["b"] == first["_b"]))
     same = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("_hash") == F.col("first._hash")) & (F.col("at") == F.col("first.at"))
     return found.where(~same).groupBy(F.col("doc_id").alias("_doc"), F.col("_hash").alias("_of")).agg(
-        F.collect_set("at").alias("_gone")
+        F.collect_set(F.struct("at", "end")).alias("_gone")
     )
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """`docs` (doc_id, text, more) -> doc_id, n_sentences, n_removed, kept_text.
 
-    Spans are SPAN consecutive sentences of LEAST_WORDS words or more, compared by 128-bit hash with
-    blanks evened out. The first of equal spans, by doc_id and then place, stays; sentences that any
+    A span starts at each sentence and runs over SPAN sentences and LEAST_WORDS words, or as many
+    more sentences as that takes; spans are compared by 128-bit hash with blanks evened out. The first of equal spans, by doc_id and then place, stays; sentences that any
     other one covers go. Sentences end at . ! ? before a blank, or at a line end. A null or empty
     text has no sentence and stays empty; a null doc_id comes last in order; equal rows share the
     fate of the first; other columns are ignored; no row gives no row.
@@ -109,7 +124,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             total, removed, kept = [], [], []
             for text, cut in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
                 parts = sentences(text)
-                out = {at + d for at in cut or () for d in range(SPAN)}
+                out = {i for g in cut or () for i in range(g["at"], g["end"])}
                 total.append(len(parts))
                 removed.append(len(out))
                 kept.append("".join(p for i, p in enumerate(parts) if i not in out) if out else text)
