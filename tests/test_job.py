@@ -82,3 +82,28 @@ def test_limit_and_single_item(spark):
     )
     again = {r["id"]: r["description"] for r in single.items.collect()}
     assert again["4"] == "Outlet name: Done" and again["1"] is None
+
+
+def test_items_without_a_title_are_reported(spark):
+    chat, _ = models()
+    items = make_items(spark).withColumn("title", F.when(F.col("id") != "5", F.col("title")))
+    result = enrich(items, snapshots(spark), "rules", chat, NOW)
+    log = {r["id"]: r for r in result.log.collect()}
+    assert set(log) == {"1", "2", "3", "5"}
+    assert log["5"]["status"] == "failed" and log["5"]["error"] == "the title is missing"
+    assert "5" in {r["id"] for r in result.quarantine.collect()}
+    assert result.items.count() == 5
+
+
+def test_model_calls_are_dealt_over_partitions(spark):
+    from titlemill.plans.enrich import structured
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def chat(talks):
+        seen.add(1)
+        return [json.dumps({"description": "x"}) for _ in talks]
+
+    texts = spark.range(200).select(F.col("id").cast("string").alias("name"), F.lit("c").alias("context"))
+    made = structured(texts, "rules", chat, batch_size=1000, concurrency=7)
+    assert made.count() == 200 and seen.value == 7

@@ -166,16 +166,15 @@ def test_numbering(spark):
     assert numbering.with_index(df, ["k"], "i").where(F.col("i") != F.col("k")).count() == 0
 
 
-def test_large_limit_equals_small_limit_rule(spark, monkeypatch):
+def test_limit_takes_the_oldest(spark):
     items = spark.range(500).select(
         F.col("id").cast("string").alias("id"),
         F.col("id").cast("string").alias("title"),
         F.when(F.col("id") % 5 == 0, "x").alias("description"),
         F.expr("timestamp'2024-01-01' + make_dt_interval(0, 0, cast(id / 50 as int))").alias("created_at"),
     )
-    small = rows(item_source.scan_unenriched(items, 77), "id")
-    monkeypatch.setattr(item_source, "TOP_K_ROWS", 10)
-    assert rows(item_source.scan_unenriched(items, 77), "id") == small
+    todo = items.where("description is null").orderBy("created_at", "id").limit(77)
+    assert rows(item_source.scan_unenriched(items, 77), "id") == rows(todo.select("id", "title"), "id")
     assert item_source.scan_unenriched(items, 0).count() == 400
     assert item_source.dispatch_estimate(items, 77).first()["queued"] == 77
     assert item_source.dispatch_estimate(items).first()["queued"] == 400

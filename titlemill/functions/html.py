@@ -27,7 +27,10 @@ _TAG = r"<[a-zA-Z/!?](?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>?"
 _HIDDEN = r"(?is)<!--.*?(?:-->|\z)|<(script|style)\b[^>]*>.*?(?:</\1\s*>|\z)"
 _BLOCK = r"(?i)(?=</?(?:" + "|".join(BLOCK_TAGS) + r")(?![a-z0-9-]))"
 _ENTITY = r"&(?=(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]*);)"
-_NAMED = json.dumps({name: chr(code) for name, code in html.entities.name2codepoint.items()})
+# The HTML 4 names and one more that page parsers know.
+_NAMED = json.dumps(
+    {"apos": "'"} | {name: chr(code) for name, code in html.entities.name2codepoint.items()}
+)
 
 
 def _character(code: Column) -> Column:

@@ -33,5 +33,6 @@ def run_with_attempts(
         outcome = settled if outcome is None else outcome.unionByName(settled)
         if last:
             break
-        todo = work.join(failed.select(key), key, "left_semi")
+        again = failed.select(F.col(key).alias("_again"))
+        todo = work.join(again, work[key].eqNullSafe(again["_again"]), "left_semi")
     return outcome

@@ -13,6 +13,7 @@ from titlemill.sources.snapshots import (
     best_hits,
     entity_claims,
     first_links,
+    live,
     reachable_urls,
     wiki_page_links,
     wiki_page_texts,
@@ -34,7 +35,8 @@ def distinct_titles(items: DataFrame) -> DataFrame:
 def first_reachable(rows: DataFrame, key: str, candidates: Column, url_status: DataFrame) -> DataFrame:
     """key, url: the first reachable candidate of each row; rows without one are absent."""
     tried = rows.select(key, F.posexplode(candidates).alias("position", "url"))
-    known = reachable_urls(url_status).withColumnRenamed("url", "live_url")
+    # a semi join needs no distinct side
+    known = url_status.where(live()).select(F.col("url").alias("live_url"))
     return (
         lookup(tried, known, [(F.col("url"), "live_url")], "left_semi")
         .groupBy(key)

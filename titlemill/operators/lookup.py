@@ -7,7 +7,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 # A key is split once it holds more than 1/MAX_HOT_KEYS of all rows. Fewer than MAX_HOT_KEYS keys
 # can do so, which bounds what is broadcast to that many (hash, copies) pairs.
 MAX_HOT_KEYS = 2_000
-MAX_COPIES = 256
 
 
 def lookup(
@@ -37,7 +36,7 @@ def salted_lookup(
     """
     total = table.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("n")).first()["n"]
     threshold = max(total // MAX_HOT_KEYS, 1)
-    copies = F.least(F.ceil(F.col(weight) / threshold), F.lit(MAX_COPIES)).cast("int")
+    copies = F.ceil(F.col(weight) / threshold).cast("int")
     # Equal hashes of different keys only add needless copies: both sides use the larger number.
     hot = (
         table.where(F.col(weight) > threshold)

@@ -43,7 +43,8 @@ def merge_by_key(items: DataFrame, updates: DataFrame, columns: list[str], **sta
 def merge_items(items: DataFrame, updates: DataFrame, now: str, order: str = "seq") -> DataFrame:
     """Write enriched fields; the last update per id wins. `now` is the run's time stamp."""
     columns = [c for c in [*ENRICHED, "metrics_extra"] if c in updates.columns and c in items.columns]
-    latest = last_per_key(updates, "id", order) if order in updates.columns else updates
+    known_order = order in updates.columns
+    latest = last_per_key(updates, "id", order) if known_order else updates.dropDuplicates(["id"])
     stamps = {}
     if "updated_at" in items.columns:
         stamps["updated_at"] = F.lit(now).cast(items.schema["updated_at"].dataType)

@@ -49,11 +49,18 @@ def structured(
     model: ChatModel,
     batch_size: int = BATCH_SIZE,
     max_attempts: int = MAX_ATTEMPTS,
+    concurrency: int | None = None,
 ) -> DataFrame:
-    """name, error, attempts and the validated record of each text; failures are tried again."""
+    """name, error, attempts and the validated record of each text; failures are tried again.
+
+    Texts are dealt over `concurrency` partitions, each of which calls the model in turn; None
+    takes the session's number of shuffle partitions.
+    """
+    calls = concurrency or parallel_calls(texts)
 
     def attempt(rows: DataFrame, _: int) -> DataFrame:
-        replies = structure(rows, "name", messages(system, F.col("context")), model, batch_size)
+        dealt = rows.select("name", "context").repartition(calls, "name")
+        replies = structure(dealt, "name", messages(system, F.col("context")), model, batch_size)
         checked = replies.withColumn("record", validate(F.col("reply")))
         return checked.select(
             "name",
@@ -66,6 +73,10 @@ def structured(
     return run_with_attempts(texts, "name", attempt, max_attempts)
 
 
+def parallel_calls(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def enrich(
     items: DataFrame,
     snapshots: Snapshots,
@@ -76,26 +87,34 @@ def enrich(
     only: DataFrame | None = None,
     batch_size: int = BATCH_SIZE,
     max_attempts: int = MAX_ATTEMPTS,
+    concurrency: int | None = None,
 ) -> Enriched:
     """Enrich the oldest `limit` unenriched items, or the (id, title) rows of `only`.
 
+    Items without a title have nothing to look up: they are logged as failed and quarantined.
+
     Titles, not items, are looked up and sent to the model: equal titles have equal contexts.
     Contexts and replies are materialised, since the steps after them read them several times.
     """
     selected = only if only is not None else scan_unenriched(items, limit)
     if limit or only is not None:
         selected = durable(selected)
-    texts = durable(contexts(selected, snapshots))
-    replies = structured(texts, system, model, batch_size, max_attempts)
+    titled = selected.where(F.col("title").isNotNull())
+    texts = durable(contexts(titled, snapshots))
+    replies = structured(texts, system, model, batch_size, max_attempts, concurrency)
     year = F.col("extra")["founding_year"]
     records = durable(
         texts.select("name", "copies", "source", "extra", F.length("context").alias("chars"))
         .join(replies, "name")
         .withColumn("metrics", with_founding_year(F.col("metrics"), year))
     )
-    outcomes = salted_lookup(
-        selected.withColumnRenamed("title", "name"), records, "name", "copies", "id"
+    untitled = selected.where(F.col("title").isNull()).select(
+        "id", F.lit("the title is missing").alias("error"), F.lit("").alias("source"),
+        F.lit(0).alias("chars"), F.lit(0).alias("attempts"),
     )
+    outcomes = salted_lookup(
+        titled.withColumnRenamed("title", "name"), records, "name", "copies", "id"
+    ).unionByName(untitled, allowMissingColumns=True)
     done = outcomes.where(F.col("error").isNull())
     ok = F.col("error").isNull()
     log = outcomes.select(
@@ -131,6 +150,9 @@ def run(
     limit: int | None = None,
     batch_size: int = BATCH_SIZE,
     dimension: int = DIMENSION,
+    max_attempts: int = MAX_ATTEMPTS,
+    concurrency: int | None = None,
+    only: DataFrame | None = None,
 ) -> DataFrame:
     """One production run written below `folder`; returns the item table with vectors.
 
@@ -138,7 +160,9 @@ def run(
     a new snapshot is written beside it.
     """
     spark = items.sparkSession
-    result = enrich(items, snapshots, system, chat, now, limit, batch_size=batch_size)
+    result = enrich(
+        items, snapshots, system, chat, now, limit, only, batch_size, max_attempts, concurrency
+    )
     result.items.write.mode("overwrite").parquet(f"{folder}/enriched")
     result.log.write.mode("overwrite").parquet(f"{folder}/log")
     log = spark.read.parquet(f"{folder}/log")
@@ -146,6 +170,7 @@ def run(
 
     enriched = spark.read.schema(result.items.schema).parquet(f"{folder}/enriched")
     found = fetch_for_embedding(enriched, succeeded(log))
+    found = found.repartition(concurrency or parallel_calls(found), "id")
     embed_items(found, embedder, batch_size, dimension).write.mode("overwrite").parquet(
         f"{folder}/vectors"
     )

@@ -9,13 +9,3 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table as it is stored: filters and column choices reach the scan."""
     return spark.read.parquet(path)
 
-
-def spread(scan: DataFrame) -> DataFrame:
-    """Deal rows over the cores where a scan has fewer splits than the cluster has cores.
-
-    For a scan that feeds costly expressions, such as page parsing. A large table has splits
-    enough and is returned unchanged, so nothing large is shuffled. Select the columns first, and
-    pass a plain scan: the split count of a plan with shuffles is unknown before it runs.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan

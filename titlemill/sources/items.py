@@ -6,10 +6,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from titlemill.operators.numbering import with_index
 
-# Up to this many rows a limit runs as Spark's bounded top-k; beyond it rows are numbered in
-# parallel, since a large top-k would pass through one task.
-TOP_K_ROWS = 10_000
-
 
 def unenriched() -> Column:
     """An item still waits for enrichment while its description is NULL; '' counts as enriched."""
@@ -27,8 +23,6 @@ def scan_unenriched(items: DataFrame, limit: int | None = None) -> DataFrame:
     )
     if not limit:
         return todo.select("id", "title")
-    if limit <= TOP_K_ROWS:
-        return todo.orderBy("created_at", "id").limit(limit).select("id", "title")
     numbered = with_index(todo, ["created_at", "id"], "position")
     return numbered.where(F.col("position") < limit).select("id", "title")
 

@@ -11,19 +11,18 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 BATCH_SIZE = 100
 MAX_WAIT_MS = 30_000
-SHARDS = 64
 
 
 def count_or_time_batches(
     pending: DataFrame,
     size: int = BATCH_SIZE,
     wait_ms: int | None = MAX_WAIT_MS,
-    shards: int = SHARDS,
+    shards: int | None = None,
 ) -> DataFrame:
-    """shard, reason, ids: a batch whenever a shard holds `size` ids, or `wait_ms` after its last
-    batch.
+    """shard, reason, ids: a batch whenever a shard holds `size` ids, or `wait_ms` after the first
+    id since its last batch came.
 
-    Each shard keeps fewer than `size` ids in state. Entries are dealt over shards by id and
+    There are as many shards as shuffle partitions unless `shards` says otherwise. Each shard keeps fewer than `size` ids in state. Entries are dealt over shards by id and
     enqueue time, so repeats of one id do not load one shard; draining removes repeats. A bounded
     run (`availableNow`) passes None for `wait_ms`, since waiting for time-outs would keep it
     running, and finds the rest with `unbatched`.
@@ -32,7 +31,7 @@ def count_or_time_batches(
     def collect(
         key: tuple[Any, ...], frames: Iterator[pd.DataFrame], state: GroupState
     ) -> Iterator[pd.DataFrame]:
-        held = list(state.get[0]) if state.exists else []
+        held, since = (list(state.get[0]), state.get[1]) if state.exists else ([], None)
         if state.hasTimedOut:
             state.remove()
             yield pd.DataFrame({"shard": [key[0]], "reason": ["time"], "ids": [held]})
@@ -40,18 +39,22 @@ def count_or_time_batches(
         for frame in frames:
             held.extend(frame["id"])
             while len(held) >= size:
-                batch, held = held[:size], held[size:]
+                batch, held, since = held[:size], held[size:], None
                 yield pd.DataFrame({"shard": [key[0]], "reason": ["count"], "ids": [batch]})
         if held:
-            state.update((held,))
+            now = 0 if wait_ms is None else state.getCurrentProcessingTimeMs()
+            since = now if since is None else since
+            state.update((held, since))
             if wait_ms is not None:
-                state.setTimeoutDuration(wait_ms)
+                # later arrivals do not push the deadline forward
+                state.setTimeoutDuration(max(1, since + wait_ms - now))
         elif state.exists:
             state.remove()
 
     timeout = (
         GroupStateTimeout.NoTimeout if wait_ms is None else GroupStateTimeout.ProcessingTimeTimeout
     )
+    shards = shards or int(pending.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shard = F.pmod(F.xxhash64("id", "enqueued_at"), F.lit(shards)).cast("int")
     return (
         pending.select("id", shard.alias("shard"))
@@ -59,7 +62,7 @@ def count_or_time_batches(
         .applyInPandasWithState(
             collect,
             "shard int, reason string, ids array<string>",
-            "ids array<string>",
+            "ids array<string>, since long",
             "append",
             timeout,
         )

@@ -8,20 +8,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from titlemill.functions.slug import compact_candidates, slug_candidates, url_in_title
-from titlemill.sources.files import read_table, spread
+from titlemill.sources.files import read_table
 from titlemill.sources.snapshots import Snapshots
 
 LATIN = "abcdefghijklmnopqrstuvwxyz"
 CYRILLIC = "абцдефгхіжклмнопщрстуваєиз"
 
 
-# Tables whose rows are long texts that every query parses.
-TEXTS = ["documents", "pages"]
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    scan = read_table(spark, f"{sf_dir}/{name}.parquet")
-    return spread(scan) if name in TEXTS else scan
+    return read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def _words(text: Column, start: int, count: int) -> Column:
