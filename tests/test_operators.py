@@ -295,3 +295,36 @@ def test_site_signals(spark):
     assert got["https://a.ua"] == (f"{long} {long}", ["c"])
     assert got["https://b.ua/"] == (None, None)
     assert "https://c.ua" not in got
+
+
+def test_sites_are_found_with_and_without_a_slash(spark):
+    long = "This sentence is long enough to be kept as a paragraph."
+    page = lambda text: f"<html><title>t</title><body><p>{text}</p>"
+    snapshot = spark.createDataFrame(
+        [("https://t3.ua/", 200, page(long)), ("https://t3.ua//", 200, page("x" * 50)), ("https://t4.ua", 200, page("y" * 50))],
+        "url string, status int, body string",
+    )
+    found = spark.createDataFrame(
+        [("T3", "https://t3.ua", "slug"), ("T4", "https://t4.ua/", "slug"), ("T5", None, "none")],
+        "name string, url string, source string",
+    ).withColumn("extract", F.lit(None).cast("string"))
+    signals = site_signals(snapshot)
+    assert sorted(r["site_url"] for r in signals.collect()) == ["https://t3.ua/", "https://t4.ua"]
+    for given in ((snapshot, None), (None, signals)):
+        got = {r["name"]: r["context"] for r in with_context(found, *given).collect()}
+        assert long in got["T3"] and "y" * 50 in got["T4"] and got["T5"] == "Outlet name: T5"
+    status = spark.createDataFrame([("https://t3.ua/", 200)], "url string, status int")
+    tried = discovery.first_reachable(found.where("name = 'T3'"), "name", F.array("url"), status)
+    assert [tuple(r) for r in tried.collect()] == [("T3", "https://t3.ua")]
+
+
+def test_repeated_ids_do_not_multiply(spark):
+    items = spark.createDataFrame([("1", None), ("1", None), ("2", None)], "id string, embedding array<float>")
+    vectors = spark.createDataFrame([("1", [1.0]), ("1", [2.0])], "id string, embedding array<float>")
+    got = merge.merge_vectors(items, vectors).collect()
+    assert len(got) == 3 and len({str(r["embedding"]) for r in got if r["id"] == "1"}) == 1
+    updates = spark.createDataFrame(
+        [("1", "a", {"k": "v"}, 1), ("1", "b", {"k": "w"}, 1)], "id string, description string, metrics_extra map<string,string>, seq int"
+    )
+    both = [merge.last_per_key(u, "id", "seq").first() for u in (updates, updates.orderBy(F.desc("description")))]
+    assert both[0] == both[1]

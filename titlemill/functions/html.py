@@ -122,10 +122,11 @@ def meta_of(tags: Column, attribute: str, value: str) -> Column:
 def organisation_markup(page: Column) -> Column:
     """`name`, `description`, `url` of the first linked-data block about an organisation.
 
-    NULL if no block qualifies; blocks that are not valid JSON are passed over.
+    NULL if no block qualifies; blocks that are not valid JSON are passed over, as are blocks
+    inside comments.
     """
     blocks = F.regexp_extract_all(
-        page,
+        F.regexp_replace(page, r"(?is)(<script\b.*?</script\s*>)|<!--.*?-->", "$1"),
         F.lit(
             r"(?is)<script\b[^>]*\stype\s*=\s*[\"']?application/ld\+json[\"']?(?:\s[^>]*)?>"
             r"(.*?)</script\s*>"
@@ -202,15 +203,25 @@ def _segment(part: Column) -> Column:
 
 
 def _walk(segments: Column) -> Column:
-    """Paragraph texts, each with the bits of the containers around it.
+    """Joined paragraph texts, one per container in their order and last of all paragraphs.
 
+    Each text is cut to what the result can hold, so a step costs the same however long the page.
     `open` lists the open containers, outermost first, with the elements of the same name inside
     them (needed to find which end tag closes a container). It stays a few entries long.
     """
     start = F.struct(
         F.from_json(F.lit("[]"), "array<struct<name:string,mask:int>>").alias("open"),
-        F.from_json(F.lit("[]"), "array<struct<mask:int,text:string>>").alias("texts"),
+        F.array_repeat(F.lit(""), len(_CONTAINERS) + 1).alias("texts"),
     )
+    bits = F.array(*[F.lit(1 << position) for position in range(len(_CONTAINERS) + 1)])
+
+    def added(texts: Column, mask: Column, text: Column) -> Column:
+        def grown(own: Column, bit: Column) -> Column:
+            fits = (mask.bitwiseAND(bit) != 0) & (F.length(own) < MAX_BODY)
+            joined = F.when(own == "", text).otherwise(F.concat(own, F.lit(" "), text))
+            return F.when(fits, joined).otherwise(own)
+
+        return F.zip_with(texts, bits, grown)
 
     def step(state: Column, segment: Column) -> Column:
         opened, texts = state["open"], state["texts"]
@@ -236,7 +247,7 @@ def _walk(segments: Column) -> Column:
             after.alias("open"),
             F.when(
                 segment["text"].isNotNull(),
-                F.array_append(texts, F.struct(mask.alias("mask"), segment["text"].alias("text"))),
+                added(texts, mask, F.substring(segment["text"], 1, MAX_BODY)),
             )
             .otherwise(texts)
             .alias("texts"),
@@ -258,12 +269,8 @@ def body_text_of(clean: Column) -> Column:
     """`body_text` of a page that `visible` has been applied to."""
 
     def cascade(texts: Column) -> Column:
-        def within(bit: int) -> Column:
-            inside = F.filter(texts, lambda t: t["mask"].bitwiseAND(F.lit(bit)) != 0)
-            return nz(F.array_join(F.transform(inside, lambda t: t["text"]), " "))
-
-        bits = [1 << position for position in range(len(_CONTAINERS))] + [_ANYWHERE]
-        return F.substring(F.coalesce(*[within(bit) for bit in bits], F.lit("")), 1, MAX_BODY)
+        best = [nz(F.get(texts, F.lit(position))) for position in range(len(_CONTAINERS) + 1)]
+        return F.substring(F.coalesce(*best, F.lit("")), 1, MAX_BODY)
 
     segments = F.transform(F.split(clean, _BLOCK), _segment)
     return let(_walk(segments), cascade)

@@ -36,9 +36,9 @@ def first_reachable(rows: DataFrame, key: str, candidates: Column, url_status: D
     """key, url: the first reachable candidate of each row; rows without one are absent."""
     tried = rows.select(key, F.posexplode(candidates).alias("position", "url"))
     # a semi join needs no distinct side
-    known = url_status.where(live()).select(F.col("url").alias("live_url"))
+    known = url_status.where(live()).select(strip_slashes(F.col("url")).alias("live_url"))
     return (
-        lookup(tried, known, [(F.col("url"), "live_url")], "left_semi")
+        lookup(tried, known, [(strip_slashes(F.col("url")), "live_url")], "left_semi")
         .groupBy(key)
         .agg(F.min_by("url", "position").alias("url"))
     )
@@ -173,14 +173,15 @@ def _probe(rows: DataFrame, url_status: DataFrame) -> DataFrame:
     tried = rows.select(
         "*", F.inline_outer(_candidates(official, found)).alias("position", "try_url")
     )
-    known = reachable_urls(url_status).withColumnRenamed("url", "live_url")
-    key = spread_nulls(F.col("try_url"), F.col("name"))
+    # an address answers alike with and without a slash at its end
+    known = reachable_urls(url_status).select(strip_slashes(F.col("url")).alias("live_url")).distinct()
+    key = spread_nulls(strip_slashes(F.col("try_url")), F.col("name"))
     answered = lookup(tried, known, [(key, "live_url")])
     live = F.when(F.col("live_url").isNotNull(), F.struct("position", "try_url"))
     return (
         answered.groupBy(*rows.columns)
         .agg(
-            F.max(F.when((F.col("position") == 0), F.col("live_url"))).alias("spelled"),
+            F.max(F.when(live["position"] == 0, live["try_url"])).alias("spelled"),
             F.min(F.when(live["position"] > 0, live)).alias("guess"),
         )
         .select("*", F.col("guess.try_url").alias("guessed"))

@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 ENRICHED = ["description", "category", "tags", "audience", "metrics"]
 
 
-def last_per_key(updates: DataFrame, key: str, order: str) -> DataFrame:
-    """The last update of each key. Combined before the shuffle, so a hot key stays cheap."""
+def _content(updates: DataFrame, columns: list[str]) -> Column:
+    """A hash of the values, so that of updates with equal order the same one wins in every run."""
+    maps = {f.name for f in updates.schema.fields if isinstance(f.dataType, T.MapType)}
+    return F.xxhash64(*[F.sort_array(F.map_entries(c)) if c in maps else F.col(c) for c in columns])
+
+
+def last_per_key(updates: DataFrame, key: str, order: str | None) -> DataFrame:
+    """The last update of each key; without an order, one of them.
+
+    Combined before the shuffle, so a hot key stays cheap.
+    """
     rest = [c for c in updates.columns if c != key]
+    turn = F.struct(*([F.col(order)] if order else []), _content(updates, rest))
     return (
         updates.groupBy(key)
-        .agg(F.max_by(F.struct(*rest), order).alias("_last"))
+        .agg(F.max_by(F.struct(*rest), turn).alias("_last"))
         .select(key, "_last.*")
     )
 
@@ -43,8 +53,7 @@ def merge_by_key(items: DataFrame, updates: DataFrame, columns: list[str], **sta
 def merge_items(items: DataFrame, updates: DataFrame, now: str, order: str = "seq") -> DataFrame:
     """Write enriched fields; the last update per id wins. `now` is the run's time stamp."""
     columns = [c for c in [*ENRICHED, "metrics_extra"] if c in updates.columns and c in items.columns]
-    known_order = order in updates.columns
-    latest = last_per_key(updates, "id", order) if known_order else updates.dropDuplicates(["id"])
+    latest = last_per_key(updates, "id", order if order in updates.columns else None)
     stamps = {}
     if "updated_at" in items.columns:
         stamps["updated_at"] = F.lit(now).cast(items.schema["updated_at"].dataType)
@@ -53,8 +62,7 @@ def merge_items(items: DataFrame, updates: DataFrame, now: str, order: str = "se
 
 def merge_vectors(items: DataFrame, vectors: DataFrame, order: str | None = None) -> DataFrame:
     """Write embeddings by id; no other column changes."""
-    latest = last_per_key(vectors, "id", order) if order else vectors
-    return merge_by_key(items, latest, ["embedding"])
+    return merge_by_key(items, last_per_key(vectors, "id", order), ["embedding"])
 
 
 def unwritten(requested: DataFrame, written: DataFrame) -> DataFrame:

@@ -93,13 +93,14 @@ def feed_pages(page_snapshot: DataFrame) -> DataFrame:
 
 
 def site_signals(page_snapshot: DataFrame) -> DataFrame:
-    """site_url, signals, about_text, rss_categories: each live page taken as a home page.
+    """base, site_url, signals, about_text, rss_categories: each live page taken as a home page.
 
     One scan reads every role of a page: as a home page, and as a sub-page of the site above it.
     Bodies are cut to signals where they are read and never shuffled. Copies of a page collapse
     before the first shuffle, so the window holds one home page per spelling of an address and one
-    page per known path. The result depends on the crawl alone: it can be stored with the crawl
-    and used by many runs.
+    page per known path. Of spellings that differ in slashes at the end the shortest stays. The
+    result depends on the crawl alone: stored with the crawl and handed over as
+    `Snapshots.site_signals`, it spares later runs the pages.
     """
     body = F.col("body")
     about_position, about_base = _ending(F.col("url"), ABOUT_PATHS)
@@ -141,24 +142,31 @@ def site_signals(page_snapshot: DataFrame) -> DataFrame:
         return F.min(found).over(site)[value]
 
     joined = pages.select(
+        "base",
         "site_url",
+        F.min("site_url").over(site).alias("shortest"),
         "kind",
         "signals",
         first("about", "about_body").alias("about_body"),
         first("feed", "categories").alias("rss_categories"),
-    ).where(F.col("kind") == "home")
+    ).where((F.col("kind") == "home") & (F.col("site_url") == F.col("shortest")))
     about = F.substring(longer_about(F.col("about_body"), F.col("signals.body_text")), 1, MAX_BODY)
-    return joined.select("site_url", "signals", about.alias("about_text"), "rss_categories")
+    return joined.select("base", "site_url", "signals", about.alias("about_text"), "rss_categories")
 
 
-def with_context(discovered: DataFrame, page_snapshot: DataFrame | None) -> DataFrame:
-    """Add `context`: the text a model reads about each discovered name."""
+def with_context(
+    discovered: DataFrame, page_snapshot: DataFrame | None, stored_signals: DataFrame | None = None
+) -> DataFrame:
+    """Add `context`: the text a model reads about each discovered name.
+
+    Sites are looked up by address without slashes at its end, in `stored_signals` if there are
+    any, else in the pages.
+    """
     url, source = F.col("url"), F.col("source")
     wants_site = nz(url).isNotNull() & ~F.startswith(source, F.lit("wikipedia"))
-    if page_snapshot is None:
+    if page_snapshot is None and stored_signals is None:
         rows = discovered.select(
             "*",
-            F.lit(None).cast("string").alias("site_url"),
             F.lit(None).cast("string").alias("about_text"),
             F.lit(None).cast("array<string>").alias("rss_categories"),
             F.struct(
@@ -171,8 +179,10 @@ def with_context(discovered: DataFrame, page_snapshot: DataFrame | None) -> Data
     else:
         # Many names may share one address: the names are the probe side, which adaptive
         # execution splits; names without a site carry keys that spread evenly.
-        key = spread_nulls(F.when(wants_site, url), F.col("name"))
-        rows = lookup(discovered, site_signals(page_snapshot), [(key, "site_url")])
+        key = spread_nulls(F.when(wants_site, strip_slashes(url)), F.col("name"))
+        known = stored_signals if stored_signals is not None else site_signals(page_snapshot)
+        sites = known.select(F.col("base").alias("_base"), "signals", "about_text", "rss_categories")
+        rows = lookup(discovered, sites, [(key, "_base")])
     site = site_context(
         F.col("name"),
         F.col("signals.name"),

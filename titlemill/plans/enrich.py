@@ -40,7 +40,8 @@ class Enriched:
 
 def contexts(selected: DataFrame, snapshots: Snapshots) -> DataFrame:
     """name, copies, url, extract, qid, source, extra, context of each distinct title."""
-    return with_context(discover(distinct_titles(selected), snapshots), snapshots.page_snapshot)
+    found = discover(distinct_titles(selected), snapshots)
+    return with_context(found, snapshots.page_snapshot, snapshots.site_signals)
 
 
 def structured(

@@ -25,7 +25,8 @@ class Snapshots:
 
     url_status(url, status); wiki_hits(lang, query, rank, title);
     wiki_pages(lang, title, page_id, extract, qid, fullurl); wd_entities(qid, json);
-    search_results(engine, query, rank, link); page_snapshot(url, status, body)
+    search_results(engine, query, rank, link); page_snapshot(url, status, body);
+    site_signals: what `operators.pages.site_signals` made of a crawl, read in place of its pages
     """
 
     url_status: DataFrame | None = None
@@ -34,6 +35,7 @@ class Snapshots:
     wd_entities: DataFrame | None = None
     search_results: DataFrame | None = None
     page_snapshot: DataFrame | None = None
+    site_signals: DataFrame | None = None
 
 
 def live() -> Column:
@@ -72,7 +74,7 @@ def wiki_page_links(wiki_pages: DataFrame) -> DataFrame:
     return (
         wiki_pages.where(F.col("page_id") != -1)
         .groupBy("lang", F.col("title").alias("hit_title"))
-        .agg(F.max_by(F.struct("qid", "fullurl"), "page_id").alias("page"))
+        .agg(F.max(F.struct("page_id", "qid", "fullurl")).alias("page"))
         .select("lang", "hit_title", "page.qid", "page.fullurl")
     )
 
@@ -84,7 +86,8 @@ def wiki_page_texts(wiki_pages: DataFrame) -> DataFrame:
         wiki_pages.where(F.col("page_id") != -1)
         .select("lang", F.col("title").alias("hit_title"), "page_id", text.alias("text"))
         .groupBy("lang", "hit_title")
-        .agg(F.max_by("text", "page_id").alias("extract"))
+        .agg(F.max(F.struct("page_id", "text")).alias("page"))
+        .select("lang", "hit_title", F.col("page.text").alias("extract"))
     )
 
 
