@@ -56,7 +56,9 @@ class PrefixTable:
         ]
         self.spines: dict[str, tuple | None] = {}
         self.whole: dict[int, bool] = {}
-        self.pairs: dict[int, bool] = {}
+        # per piece, and last for the start of a run: may another piece follow it?
+        self.follows: list[dict[int, bool]] = [{} for _ in range(size + 1)]
+        self.held = 0
         self.sizes = [len(p) for p in self.pieces]
 
     def spine(self, piece: str) -> tuple | None:
@@ -98,33 +100,35 @@ class PrefixTable:
             else:
                 j += 1
 
-    def fits(self, key: int) -> bool:
-        """Can the piece in the low half of `key` follow the one in the high half (less one)?"""
-        before, own = (key >> 32) - 1, key & 0xFFFFFFFF
+    def fits(self, before: int, own: int) -> bool:
+        """Can piece `own` follow piece `before`, or begin a run if that is -1?"""
         if own not in self.whole:
             self.whole[own] = self.spine(self.pieces[own]) is not None
         good = self.whole[own] and (before < 0 or self.compatible(self.pieces[before], self.pieces[own]))
-        if len(self.pairs) > 4 * REMEMBERED:
-            self.pairs.clear()
-        self.pairs[key] = good
+        if self.held > 4 * REMEMBERED:
+            for known in self.follows:
+                known.clear()
+            self.held = 0
+        self.follows[before][own] = good
+        self.held += 1
         return good
 
     def run(self, text: str) -> list[int]:
         """Ids of known characters. Matches come by their end, so shorter prefixes are settled."""
-        last, length = [-1] * (len(text) + 1), [0] * (len(text) + 1)
-        remembered, sizes = self.pairs.get, self.sizes
+        last = [-1] * (len(text) + 1)
+        follows, sizes = self.follows, self.sizes
         for end, own in self.automaton.iter(text):
-            if length[end + 1]:
-                continue
-            size = sizes[own]
-            key = last[end + 1 - size] + 1 << 32 | own
-            good = remembered(key)
-            if good or good is None and self.fits(key):
-                last[end + 1], length[end + 1] = own, size
+            end += 1
+            if last[end] < 0:
+                before = last[end - sizes[own]]
+                good = follows[before].get(own)
+                if good or good is None and self.fits(before, own):
+                    last[end] = own
         ids, end = [], len(text)
         while end:
-            ids.append(last[end])
-            end -= length[end]
+            own = last[end]
+            ids.append(own)
+            end -= sizes[own]
         return ids[::-1]
 
     def blanks(self, count: int) -> list[int]:
@@ -163,14 +167,14 @@ def _encoder(table: PrefixTable):
         cut = [WORDS.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
         if len(known) > REMEMBERED:
             known.clear()
-        for key in {k for keys in cut for k in keys if k not in known}:
+        for key in set().union(*cut).difference(known):
             ids = table.word(key)
             known[key] = (len(ids), ",".join([names[i] for i in ids]), b"".join([table.bytes[i] for i in ids]))
         result = []
         for keys in cut:
-            parts = [known[k] for k in keys]
-            back = b"".join([p[2] for p in parts]).decode("utf-8", "replace")
-            result.append((sum([p[0] for p in parts]), ",".join([p[1] for p in parts]), back.removeprefix(" ")))
+            counts, ids, parts = zip(*map(known.__getitem__, keys), strict=True) if keys else ((), (), ())
+            back = b"".join(parts).decode("utf-8", "replace")
+            result.append((sum(counts), ",".join(ids), back.removeprefix(" ")))
         return result
 
     return encode
