@@ -2,21 +2,32 @@
 
 from __future__ import annotations
 
-from titlemill.functions.html import BLOCK_TAGS
-from titlemill.functions.reply import CATEGORIES
-from titlemill.functions.slug import (
-    COMPACT_PROBE_ENDINGS,
-    MANY_LETTERS,
-    ONE_LETTER,
-    PROBE_ENDINGS,
-    STOP_WORDS,
-    TITLE_ENDINGS,
-)
-from titlemill.functions.text import BLANKS
 from workloads.derive import CYRILLIC, LATIN
 from workloads.queries import NOW, RUN_CAP
 from workloads.stubs import SYSTEM
 
+# Fixed values, spelled out here so that an error in the engine's own lists shows.
+BLOCK_TAGS = """address article aside blockquote body center dd details div dl dt fieldset figcaption
+figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot
+th thead tr ul""".split()
+CATEGORIES = """News Business Technology Sports Fashion Agriculture Video Entertainment Science Health
+Politics""".split()
+BLANKS = (
+    r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
+COMPACT_PROBE_ENDINGS = [".com", ".net", ".org", ".ua", ".info"]
+PROBE_ENDINGS = [".com.ua", ".ua", ".com", ".net", ".org", ".media", ".online"]
+TITLE_ENDINGS = "com.ua org.ua net.ua in.ua com net org ua info media online news".split()
+STOP_WORDS = "the a an of and or in at by на для та і в з до".split()
+ONE_LETTER = {
+    "а": "a", "б": "b", "в": "v", "г": "h", "ґ": "g", "д": "d", "е": "e", "з": "z", "и": "y", "і": "i",
+    "ї": "i", "й": "y", "к": "k", "л": "l", "м": "m", "н": "n", "о": "o", "п": "p", "р": "r", "с": "s",
+    "т": "t", "у": "u", "ф": "f",
+}
+MANY_LETTERS = {
+    "є": "ie", "ж": "zh", "х": "kh", "ц": "ts", "ч": "ch", "ш": "sh", "щ": "shch", "ю": "yu", "я": "ya",
+}
+
 _ENDING = "(?is)^(.*?)(\\.(?:" + "|".join(e.replace(".", "\\.") for e in TITLE_ENDINGS) + "))\\n?$"
 
 
