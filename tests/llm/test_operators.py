@@ -200,6 +200,18 @@ def test_sentence_spans(docs):
     assert prose(9, 90) in got[16]["kept_text"] and prose(9, 90)[100:400] not in got[17]["kept_text"]
 
 
+def test_passages_at_other_offsets_of_long_sentences_go(spark):
+    """Only words up to the first cut and behind the last one stay, whatever surrounds a passage."""
+    word = lambda seed, n: [w.strip(".,") for w in prose(seed, 2 * n).replace("Thus", "").split()][:n]
+    passage = word(500, 60)
+    rows = [(i, " ".join(word(600 + i, 30 + 7 * i) + passage + word(700 + i, 40))) for i in range(12)]
+    assert all(len(spans.sentences(t)) > 3 and "".join(spans.sentences(t)) == t for _, t in rows)
+    got = by_id(spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")))
+    left = [sum(w in set(got[i]["kept_text"].split()) for w in passage) for i, _ in rows]
+    assert left[0] == 60 and all(n < 30 for n in left[1:])
+    assert all(set(word(600 + i, 20)) <= set(got[i]["kept_text"].split()) for i, _ in rows)
+
+
 def test_mixing_meets_its_targets(spark, docs):
     draw = random.Random(8)
     rows = [(i, "w " * draw.randint(1, 60), ["b", "a", None, "c"][min(draw.randint(0, 9), 3)]) for i in range(3000)]

@@ -15,10 +15,13 @@ from titlemill.llm.common import blocks, stored, whole_text
 #: Fewest sentences and words of a span: one starts at each sentence and is as short as both allow.
 SPAN = 2
 LEAST_WORDS = 10
-#: A longer sentence is cut after so many words, so that a single long one has spans too.
+#: Sentences of more words are cut where their words say so, and after so many words at the latest,
+#: so that a long one has spans too, and a passage in it the same ones at any offset.
 LONGEST = 24
+#: A cut comes after a word whose hash with the next word is the least of so many on either side.
+REACH = 6
 END = re.compile(r"[.!?]+\s+|\n\s*")
-LONG = re.compile(rf"(?:\S+\s*){{1,{LONGEST}}}")
+WORD = re.compile(r"\S+\s*")
 
 
 def sentences(text: str) -> list[str]:
@@ -37,9 +40,20 @@ def sentences(text: str) -> list[str]:
 
 
 def _pieces(sentence: str) -> list[str]:
-    lead = len(sentence) - len(sentence.lstrip())
-    parts = LONG.findall(sentence[lead:])
-    return [sentence[:lead] + parts[0], *parts[1:]]
+    found = WORD.findall(sentence)
+    lead = sentence[: len(sentence) - len(sentence.lstrip())]
+    own = [xxhash.xxh32_intdigest(w) for w in sentence.split()]
+    pairs = [a * 0x9E3779B1 + b & 0xFFFFFFFF for a, b in zip(own, own[1:])]
+    parts, begin = [], 0
+    for at, value in enumerate(pairs, 1):
+        # of equal pairs within reach the first cuts; words that repeat so soon are cut by count
+        if at - begin == LONGEST or (
+            value < min(pairs[max(at - 1 - REACH, 0) : at - 1], default=1 << 32) and value == min(pairs[at - 1 : at + REACH])
+        ):
+            parts.append("".join(found[begin:at]))
+            begin = at
+    parts.append("".join(found[begin:]))
+    return [lead + parts[0], *parts[1:]]
 
 
 def _signed(value: int) -> int:
@@ -113,7 +127,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
 
     A span starts at each sentence and runs over SPAN sentences and LEAST_WORDS words, or as many
     more sentences as that takes; spans are compared by 128-bit hash with blanks evened out. The first of equal spans, by doc_id and then place, stays; sentences that any
-    other one covers go. Sentences end at . ! ? before a blank, or at a line end. A null or empty
+    other one covers go. Sentences end at . ! ? before a blank, or at a line end, and within
+    long ones at places that the words around them set. A null or empty
     text has no sentence and stays empty; a null doc_id comes last in order; equal rows share the
     fate of the first; other columns are ignored; no row gives no row.
     """
