@@ -293,6 +293,19 @@ def test_quality_rules_reject_outliers_and_keep_the_rest(spark):
     assert {k for k, v in kept.items() if not v} == set(range(1000, 1020))
 
 
+def test_quality_rules_reject_by_the_spread_of_the_own_source(spark):
+    """One word length is an outlier of a source with even words and usual in one with uneven words."""
+
+    def words_of(seed, mean):
+        draw = random.Random(seed)
+        return " ".join("".join(draw.choice("abdeilnorstu") for _ in range(mean + draw.choice((-1, 0, 1)))) for _ in range(60 + seed % 90))
+
+    rows = [(i, words_of(i, 5), "en", "even") for i in range(300)] + [(1000 + i, words_of(i, 4 + i % 6), "en", "uneven") for i in range(300)]
+    rows += [(2000, words_of(7, 8), "en", "even"), (2001, words_of(7, 8), "en", "uneven")]
+    kept = {r["doc_id"]: r["kept"] for r in rules.rules(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert {k for k, v in kept.items() if not v} == {2000}
+
+
 def test_rule_ensemble_on_held_out_rows(spark, docs):
     rows = [(i, prose(i, 60 + i % 50) if i % 3 else prose(i, 60).upper().replace(" ", "!! ")) for i in range(900)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -15,8 +15,9 @@ WINDOW = 5
 LEAST_WORDS = 10
 MOST_REPEATED_PERCENT = 20
 
-#: Transformed statistics of a text, each with the least standard deviation it is given: measures
-#: that are zero for most texts of a source would else reject the first text that is not zero.
+#: Transformed statistics of a text, each with the standard deviation it is given in groups where
+#: its own is near zero: measures that are zero for most texts of a source would else reject the
+#: first text that is not zero.
 FEATURES: tuple[tuple[str, float], ...] = (
     ("word_length", 0.10),
     ("symbol_rate", 0.04),
@@ -24,11 +25,14 @@ FEATURES: tuple[tuple[str, float], ...] = (
     ("repeat_rate", 0.05),
     ("length", 0.80),
 )
-#: Chi-squared quantiles for five statistics: of three quarters of all rows (the share that the
-#: estimates rest on), and of all but one in 10^9, which is where a text is rejected.
+#: A standard deviation is near zero under this share of the given one.
+NEAR_ZERO = 0.1
+#: Chi-squared quantiles by the number of statistics that vary: of three quarters of all rows (the
+#: share that the estimates rest on), and of all but one in 10^9, which is where a text is rejected.
+#: At 0, those of five (52.5 is a little further out), where none varies or a group is too small for own estimates.
 CORE_SHARE = 0.75
-CORE_QUANTILE = 6.626
-REJECT_QUANTILE = 52.5
+CORE_QUANTILES = (6.626, 1.323, 2.773, 4.108, 5.385, 6.626)
+REJECT_QUANTILES = (52.5, 37.32, 41.45, 44.84, 47.88, 52.5)
 #: Groups with fewer rows are estimated together.
 LEAST_GROUP = 50
 STEPS = 4
@@ -111,18 +115,28 @@ def _quadratic(columns: list[str]) -> Column:
 
 
 def _estimates(rows: DataFrame, columns: list[str], floors: list[float]) -> DataFrame:
-    """Mean and Cholesky factor of the covariance per group of `rows`, floors on the diagonal."""
+    """Mean and Cholesky factor of the covariance per group of `rows`, and how many columns vary.
+
+    A column whose deviation is near zero has its floor instead and no covariance. In groups too
+    small for own estimates the floors bound all deviations from below, and none counts as varying.
+    """
     n = len(columns)
     sums = [F.avg(c).alias(f"m_{i}") for i, c in enumerate(columns)]
     sums += [F.covar_pop(columns[i], columns[j]).alias(f"c_{i}_{j}") for i in range(n) for j in range(i + 1)]
-    made = rows.groupBy("_lang", "_source").agg(*sums)
+    made = rows.groupBy("_lang", "_source").agg((F.count("*") < CORE_SHARE * LEAST_GROUP).alias("_few"), *sums)
+    made = made.withColumns({f"near_{i}": F.col(f"c_{i}_{i}") < (NEAR_ZERO * floors[i]) ** 2 for i in range(n)})
     for i in range(n):
+        least = F.when(F.col("_few"), floors[i] ** 2).otherwise((NEAR_ZERO * floors[i]) ** 2)
         for j in range(i + 1):
-            value = F.col(f"c_{i}_{j}") + (F.lit(floors[i] ** 2) if i == j else F.lit(0.0))
+            if i == j:
+                value = F.when(F.col(f"near_{i}"), floors[i] ** 2).otherwise(F.greatest(f"c_{i}_{i}", least))
+            else:
+                value = F.when(F.col(f"near_{i}") | F.col(f"near_{j}"), 0.0).otherwise(F.col(f"c_{i}_{j}"))
             for k in range(j):
                 value = value - F.col(f"l_{i}_{k}") * F.col(f"l_{j}_{k}")
-            made = made.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(value, F.lit(1e-12))) if i == j else value / F.col(f"l_{j}_{j}"))
-    return made
+            made = made.withColumn(f"l_{i}_{j}", F.sqrt(F.greatest(value, least)) if i == j else value / F.col(f"l_{j}_{j}"))
+    varying = sum((F.when(F.col(f"near_{i}"), 0).otherwise(1) for i in range(1, n)), F.when(F.col("near_0"), 0).otherwise(1))
+    return made.withColumn("_live", F.when(F.col("_few"), 0).otherwise(varying))
 
 
 def _by_group(rows: DataFrame, groups: DataFrame) -> DataFrame:
@@ -138,7 +152,8 @@ def rules(docs: DataFrame, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     the base rules are judged per language and source: minimum-covariance-determinant estimates
     start at the three quarters of a group nearest its medians and repeat, STEPS times, taking mean
     and covariance of the nearest three quarters. A row is rejected if its squared distance, scaled
-    so that those three quarters lie as chi-squared says, passes REJECT_QUANTILE.
+    so that those three quarters lie as chi-squared says for the statistics that vary in the group,
+    passes the quantile for rejection.
 
     Texts are read once; the steps run on a stored narrow table unless `carried` asks for more.
     Groups meet in partial aggregates only and their estimates join back, so a source with a third
@@ -190,9 +205,13 @@ def rules(docs: DataFrame, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     for i in range(len(columns)):
         spread = (F.col(f"_q{i}")[1] - F.col(f"_q{i}")[0]) / half_range
         start = start.withColumns(
-            {f"l_{i}_{i}": F.greatest(spread, F.lit(floors[i])), **{f"l_{i}_{j}": F.lit(0.0) for j in range(i)}}
+            {
+                f"l_{i}_{i}": F.when(spread < NEAR_ZERO * floors[i], floors[i]).otherwise(spread),
+                **{f"l_{i}_{j}": F.lit(0.0) for j in range(i)},
+            }
         )
-    wanted = ["_lang", "_source", *[f"m_{i}" for i in range(len(columns))], *[f"l_{i}_{j}" for i in range(len(columns)) for j in range(i + 1)]]
+    start = start.withColumn("_live", F.lit(0))
+    wanted = ["_lang", "_source", "_live", *[f"m_{i}" for i in range(len(columns))], *[f"l_{i}_{j}" for i in range(len(columns)) for j in range(i + 1)]]
     estimate = stored(start.select(*wanted), "estimates")
     distance = _quadratic(columns)
     for _ in range(STEPS):
@@ -217,7 +236,10 @@ def rules(docs: DataFrame, carried: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     ).drop("_own", "_plang", "_psource", "_plang2", "_psource2")
     limits = stored(limits, "limits").withColumnsRenamed({"_lang": "_glang", "_source": "_gsource"})
     on = full["_lang"].eqNullSafe(limits["_glang"]) & full["_source"].eqNullSafe(limits["_gsource"])
-    inside = distance / F.greatest(F.col("_core") / CORE_QUANTILE, F.lit(1.0)) <= REJECT_QUANTILE
+    quantile = lambda values: F.get(F.array(*map(F.lit, values)), F.col("_live"))
+    scale = F.col("_core") / quantile(CORE_QUANTILES)
+    scale = F.when(F.col("_live") == 0, F.greatest(scale, F.lit(1.0))).otherwise(scale)
+    inside = distance <= scale * quantile(REJECT_QUANTILES)
     return full.join(limits, on, "left").select(
         *carried, "_stats", "base_failed", (~F.col("base_failed") & F.coalesce(inside, F.lit(True))).alias("kept")
     )
