@@ -368,6 +368,15 @@ def test_near_duplicates(spark, docs, monkeypatch, leaf, leaf_bytes):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_one_row_stays_of_each_group(spark):
+    """Where rows repeat, differing texts share an id, or all ids of a group are null."""
+    base, other, third = prose(40, 120), prose(41, 120), prose(42, 120)
+    rows = [(1, base), (1, base), (1, base + " more"), (2, base), (None, other), (None, other), (None, other + " more"), (None, third), (5, third)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r["doc_id"], shingles(r["text"], 5) & shingles(base, 5) != frozenset()) for r in neardup.representatives(df).collect()]
+    assert sorted(got, key=repr) == [(1, True), (5, False), (None, False)]
+
+
 def test_long_chains_are_one_component(spark):
     from titlemill.llm.components import least_members
 

@@ -239,9 +239,11 @@ def links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return found.distinct()
 
 
-def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85) -> DataFrame:
+def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, named: bool = False) -> DataFrame:
     """`docs` (doc_id, text, more) -> doc_id, _hash (of the text), n_shingles, component_id, kept.
 
+    With `named` also _root, one value per component whatever its ids are.
+
     A row's set holds its distinct shingles of `width` words (letters A-Z lower-cased, words parted
     by ASCII blanks; with fewer words the whole sequence is one). Rows are linked if their sets'
     Jaccard similarity reaches `similarity`; component_id is the least doc_id reachable.
@@ -278,12 +280,18 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85) -
         "sid", "least", F.coalesce("root", "sid").alias("root")
     )
     lowest = rooted.groupBy("root").agg(F.min("least").alias("component")).withColumnRenamed("root", "_root")
-    named = stored(
-        rooted.join(lowest, F.col("root") == F.col("_root")).select(F.col("sid").alias("_sid"), "component"), "named"
+    known = stored(
+        rooted.join(lowest, F.col("root") == F.col("_root")).select(
+            F.col("sid").alias("_sid"), "component", *(["_root"] if named else [])
+        ),
+        "named",
     )
     component = F.when(F.col("sid").isNull(), F.col("doc_id")).otherwise(F.col("component"))
-    return rows.join(named, rows["sid"] == named["_sid"], "left").select(
-        "doc_id", "_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+    # a row without words is a component of its own
+    alone = F.encode(F.concat_ws(" ", F.lit("alone"), F.col("doc_id").cast("string"), F.col("_hash").cast("string")), "utf-8")
+    return rows.join(known, rows["sid"] == known["_sid"], "left").select(
+        "doc_id", "_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        *([F.coalesce("_root", alone).alias("_root")] if named else []),
     )
 
 
@@ -302,12 +310,19 @@ def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The rows of `docs` that are the first of their component, all columns as they are; of equal
-    rows one."""
-    kept = near_duplicates(docs, width=5, similarity=0.8).where("kept").select(
-        F.col("doc_id").alias("_doc"), F.col("_hash").alias("_of")
-    ).distinct()
+    """The first row of each component of `docs`, all columns as they are.
+
+    The first is the least by doc_id, a null one last, and text hash; of rows equal in both any one.
+    A row without words is a component of its own, as near_duplicates has it, unless equal to
+    another in id and text.
+    """
+    found = near_duplicates(docs, width=5, similarity=0.8, named=True)
+    first = found.groupBy("_root").agg(
+        F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")).alias("first")
+    )
+    kept = first.select(F.col("first.doc_id").alias("_doc"), F.col("first._hash").alias("_of")).distinct()
     tagged = docs.withColumn("_hash", F.xxhash64(whole_text()))
-    return tagged.join(
-        kept, tagged["doc_id"].eqNullSafe(kept["_doc"]) & (tagged["_hash"] == kept["_of"]), "left_semi"
-    ).select(*docs.columns)
+    rows = tagged.join(kept, tagged["doc_id"].eqNullSafe(kept["_doc"]) & (tagged["_hash"] == kept["_of"]), "left_semi")
+    # partial aggregation first: many equal rows arrive as one per task
+    one = rows.groupBy("doc_id", "_hash").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return one.select("_row.*")
