@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from titlemill.llm import fingerprints, langid, mixing, neardup, pieces, ruleensemble, rules, runindex, secrets, spans, tokens
+from titlemill.llm import alignment, fingerprints, langid, mixing, neardup, pieces, ruleensemble, rules, runindex, secrets, spans, tokens
 from titlemill.llm.common import documents
 
 
@@ -62,6 +62,12 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir)).drop("_hash")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.alignment(
+        documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
+
+
 def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(documents(spark, sf_dir))
 
@@ -70,7 +76,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_run_index, op2_order_minhash, op3_piece_encoding, op4_sentence_spans, op5_source_mixing, op6_secret_scan, op7_quality_rules, op8_token_counts,
-        op9_rule_ensemble, op10_near_duplicates, op13_language_id,
+        op9_rule_ensemble, op10_near_duplicates, op11_token_alignment, op13_language_id,
     )
 }
 SQL: dict[str, str] = {}
