@@ -13,8 +13,10 @@ of L sums its words' scores; the prediction is the best language (ties: the leas
 Where it runs: counts are group-bys with partial aggregation; the word model is joined to each
 text's distinct words by word, hot words split over tasks by `lookup`; distinct unseen words of
 the whole corpus, not their occurrences, are broken into n-grams. Texts are never shuffled. The
-learned languages are the model's classes and are carried as literals: at most ``MAX_LANGUAGES``,
-more raise rather than grow the plan.
+learned languages are the model's classes and are carried as literals, one score column each, so
+a text's units fold into one narrow row per task before they move: at most ``MAX_LANGUAGES``,
+more raise rather than grow the plan. Words are counted inside their row, so a text's words are
+shuffled once, to meet the model, and come back as per-class sums.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from titlemill.operators.lookup import lookup
 
 #: Longest character n-gram of the backoff; a word is scored at one level only.
 NGRAM = 4
-#: Classes carried in the plan as literals; the world has fewer languages than this.
-MAX_LANGUAGES = 10_000
+#: Classes carried in the plan as literals, one score column each; more raise rather than widen it.
+MAX_LANGUAGES = 500
 UNDETERMINED = "und"
 LETTERS = r"\p{L}+"
 
@@ -116,6 +118,22 @@ def word_scores(corpus_words: DataFrame, model_words: DataFrame, model_grams: Da
     return known.select("word", F.lit(0).alias("level"), "deltas").unionByName(chosen)
 
 
+def counted_words(words: Column) -> Column:
+    """Distinct words of an array with their counts, by sorting the array once (no shuffle)."""
+    ordered = F.array_sort(words)
+    n = F.size(ordered)
+    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+                      lambda i: (i <= n) & ((i == 1) | (F.element_at(ordered, i) != F.element_at(ordered, F.greatest(i - 1, F.lit(1))))))
+    m = F.size(starts)
+    return F.transform(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+        lambda k: F.struct(
+            F.element_at(ordered, F.element_at(starts, F.least(k, m))).alias("word"),
+            (F.when(k < m, F.element_at(starts, F.least(k + 1, m))).otherwise(n + 1) - F.element_at(starts, F.least(k, m))).alias("cnt"),
+        ),
+    )
+
+
 def predict(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, lang_pred, score. Other columns are not read.
 
@@ -126,50 +144,40 @@ def predict(docs: DataFrame) -> DataFrame:
     docs = docs.select("doc_id", "text", "lang")
     model_words, model_grams, classes = train(docs)
     key = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64("doc_id", "text", F.lit(1)).alias("b"))
-    keyed = docs.select("doc_id", key.alias("_key"), letter_words(F.col("text")).alias("_w"))
-    units = (
-        keyed.select("_key", F.size("_w").alias("n_w"), F.explode("_w").alias("word"))
-        .groupBy("_key", "word")
-        .agg(F.count("*").alias("cnt"), F.max("n_w").alias("n_w"))
-    )
-    scored = stored(word_scores(units.select("word").distinct(), model_words, model_grams), "langid-scored")
+    lettered = F.coalesce(F.col("text").rlike(LETTERS), F.lit(False))
+    rows = docs.select("doc_id", key.alias("_key"), lettered.alias("_letters"))
+    if not classes:
+        return rows.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
+    vocabulary = docs.select(F.explode(F.array_distinct(letter_words(F.col("text")))).alias("word")).distinct()
+    scored = stored(word_scores(vocabulary, model_words, model_grams), "langid-scored")
+    # Words are counted inside each row; a row's share of its copies adds up to 1 over its words.
+    units = docs.select(key.alias("_key"), letter_words(F.col("text")).alias("_w")).select(
+        "_key", F.size("_w").alias("_n"), F.explode(counted_words(F.col("_w"))).alias("u")
+    ).where(F.col("_n") > 0).select("_key", "u.word", "u.cnt", (F.col("u.cnt") / F.col("_n")).alias("share"))
     joined = lookup(units, scored.withColumnRenamed("word", "_word"), [(F.col("word"), "_word")])
-    # Entries per unit: extra log counts by lang, the count at its level, and its share of a copy;
-    # keys of levels and copies start below every printable name.
-    level_key = lambda n: F.concat(F.lit("\u0000"), n.cast("string"))
-    entries = F.concat(
-        F.coalesce(F.transform("deltas", lambda d: F.struct(d["lang"].alias("k"), (d["delta"] * F.col("cnt")).alias("v"))),
-                   F.array().cast("array<struct<k:string,v:double>>")),
-        F.array(
-            F.struct(level_key(F.col("level")).alias("k"), F.col("cnt").cast("double").alias("v")),
-            F.struct(F.lit("\u0001").alias("k"), (F.col("cnt") / F.col("n_w")).alias("v")),
-        ),
+    # One column per class: cnt x (floor at the word's level + its extra log count there).
+    deltas = F.map_from_entries(F.coalesce("deltas", F.array().cast("array<struct<lang:string,delta:double>>")))
+    columns = [
+        F.sum(
+            F.when(F.col("level").isNotNull(), F.col("cnt") * (
+                F.element_at(F.array(*[F.lit(x) for x in c["floor"]]), F.col("level") + 1)
+                + F.coalesce(F.element_at(F.col("_d"), F.lit(c["lang"])), F.lit(0.0))
+            )).otherwise(0.0)
+        ).alias(f"_s{i}")
+        for i, c in enumerate(classes)
+    ]
+    per_key = joined.withColumn("_d", deltas).groupBy("_key").agg(*columns, F.sum("share").alias("_copies"))
+    copies = F.greatest(F.round("_copies"), F.lit(1.0))
+    dense = F.array(*[F.struct((F.col(f"_s{i}") / copies).alias("s"), F.lit(c["lang"]).alias("lang")) for i, c in enumerate(classes)])
+    # Highest score; classes are in name order and only a strictly higher one replaces, so ties go to the least name.
+    top = F.aggregate(F.col("_dense"), F.struct(F.lit(float("-inf")).alias("s"), F.lit(UNDETERMINED).alias("lang")),
+                      lambda acc, d: F.when(d["s"] > acc["s"], d).otherwise(acc))
+    total = F.aggregate(F.col("_dense"), F.lit(0.0), lambda acc, d: acc + F.exp(d["s"] - F.col("_top.s")))
+    predicted = per_key.withColumn("_dense", dense).withColumn("_top", top).select(
+        F.col("_key").alias("_k"), F.col("_top.lang").alias("_pred"), (F.lit(1.0) / total).alias("_score")
     )
-    entries = F.filter(entries, lambda e: e["k"].isNotNull())
-    sums = joined.select("_key", F.explode(entries).alias("e")).groupBy("_key", F.col("e.k").alias("k")).agg(F.sum("e.v").alias("v"))
-    per_key = sums.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("_m"))
-    if classes:
-        literal = F.array(*[
-            F.struct(F.lit(c["lang"]).alias("lang"), F.array(*[F.lit(x) for x in c["floor"]]).alias("floor")) for c in classes
-        ])
-        at_level = lambda n: F.coalesce(F.col("_m")[level_key(F.lit(n))], F.lit(0.0))
-        copies = F.round(F.col("_m")["\u0001"])
-        dense = F.transform(literal, lambda c: F.struct(
-            ((F.coalesce(F.col("_m")[c["lang"]], F.lit(0.0)) + sum(at_level(n) * c["floor"][n] for n in range(NGRAM + 1))) / copies).alias("s"),
-            c["lang"].alias("lang"),
-        ))
-        # Highest score; classes are in name order and only a strictly higher one replaces, so ties go to the least name.
-        top = F.aggregate(F.col("_dense"), F.struct(F.lit(float("-inf")).alias("s"), F.lit(UNDETERMINED).alias("lang")),
-                          lambda acc, d: F.when(d["s"] > acc["s"], d).otherwise(acc))
-        total = F.aggregate(F.col("_dense"), F.lit(0.0), lambda acc, d: acc + F.exp(d["s"] - F.col("_top.s")))
-        predicted = per_key.withColumn("_dense", dense).withColumn("_top", top).select(
-            "_key", F.col("_top.lang").alias("_pred"), (F.lit(1.0) / total).alias("_score")
-        )
-    else:
-        predicted = per_key.select("_key", F.lit(UNDETERMINED).alias("_pred"), F.lit(0.0).alias("_score"))
-    rows = docs.select("doc_id", key.alias("_key"), F.coalesce(F.col("text").rlike(LETTERS), F.lit(False)).alias("_letters"))
     found = F.col("_letters") & F.col("_pred").isNotNull()
-    return lookup(rows, predicted.withColumnRenamed("_key", "_k"), [(F.col("_key"), "_k")]).select(
+    return lookup(rows, predicted, [(F.col("_key"), "_k")]).select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
         F.when(found, F.col("_pred")).otherwise(F.lit(UNDETERMINED)).alias("lang_pred"),
