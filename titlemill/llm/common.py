@@ -40,6 +40,33 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"[{BLANK}]+"), lambda w: w != "")
 
 
+def with_word_counts(df: DataFrame, words: str, out: str) -> DataFrame:
+    """`df` with column `out`: the distinct strings of array column `words` and their counts
+    (word, cnt), in sorted order; an empty or null array gives an empty one.
+
+    The array is sorted once and its run starts found once, each into a column of its own, so the
+    lambdas that read them see column references and a text costs n log n, not n^2. Explode the
+    result with `explode_outer` and drop null rows after it: a plain `explode` makes the optimizer
+    infer a filter on the array's size and push it, inlined, below these projections.
+    """
+    ordered, starts = F.col(f"{out}_sorted"), F.col(f"{out}_starts")
+    n, m = F.size(ordered), F.size(starts)
+    df = df.withColumn(f"{out}_sorted", F.array_sort(F.col(words)))
+    df = df.withColumn(f"{out}_starts", F.filter(
+        F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
+        lambda i: (i <= n) & ((i == 1) | (F.element_at(ordered, i) != F.element_at(ordered, F.greatest(i - 1, F.lit(1))))),
+    ))
+    counted = F.transform(
+        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
+        lambda k: F.struct(
+            F.element_at(ordered, F.element_at(starts, F.least(k, m))).alias("word"),
+            (F.when(k < m, F.element_at(starts, F.least(k + 1, m))).otherwise(n + 1) - F.element_at(starts, F.least(k, m))).alias("cnt"),
+        ),
+    )
+    df = df.withColumn(out, F.when(n > 0, counted).otherwise(F.array().cast("array<struct<word:string,cnt:int>>")))
+    return df.drop(f"{out}_sorted", f"{out}_starts")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from titlemill.llm.common import stored
+from titlemill.llm.common import stored, with_word_counts
 from titlemill.operators.lookup import lookup
 
 #: Longest character n-gram of the backoff; a word is scored at one level only.
@@ -118,22 +118,6 @@ def word_scores(corpus_words: DataFrame, model_words: DataFrame, model_grams: Da
     return known.select("word", F.lit(0).alias("level"), "deltas").unionByName(chosen)
 
 
-def counted_words(words: Column) -> Column:
-    """Distinct words of an array with their counts, by sorting the array once (no shuffle)."""
-    ordered = F.array_sort(words)
-    n = F.size(ordered)
-    starts = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                      lambda i: (i <= n) & ((i == 1) | (F.element_at(ordered, i) != F.element_at(ordered, F.greatest(i - 1, F.lit(1))))))
-    m = F.size(starts)
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(m, F.lit(1))),
-        lambda k: F.struct(
-            F.element_at(ordered, F.element_at(starts, F.least(k, m))).alias("word"),
-            (F.when(k < m, F.element_at(starts, F.least(k + 1, m))).otherwise(n + 1) - F.element_at(starts, F.least(k, m))).alias("cnt"),
-        ),
-    )
-
-
 def predict(docs: DataFrame) -> DataFrame:
     """One row per row of `docs`: doc_id, held_out, lang_pred, score. Other columns are not read.
 
@@ -151,9 +135,9 @@ def predict(docs: DataFrame) -> DataFrame:
     vocabulary = docs.select(F.explode(F.array_distinct(letter_words(F.col("text")))).alias("word")).distinct()
     scored = stored(word_scores(vocabulary, model_words, model_grams), "langid-scored")
     # Words are counted inside each row; a row's share of its copies adds up to 1 over its words.
-    units = docs.select(key.alias("_key"), letter_words(F.col("text")).alias("_w")).select(
-        "_key", F.size("_w").alias("_n"), F.explode(counted_words(F.col("_w"))).alias("u")
-    ).where(F.col("_n") > 0).select("_key", "u.word", "u.cnt", (F.col("u.cnt") / F.col("_n")).alias("share"))
+    units = with_word_counts(docs.select(key.alias("_key"), letter_words(F.col("text")).alias("_w")), "_w", "_c").select(
+        "_key", F.size("_w").alias("_n"), F.explode_outer("_c").alias("u")
+    ).where(F.col("u").isNotNull()).select("_key", "u.word", "u.cnt", (F.col("u.cnt") / F.col("_n")).alias("share"))
     joined = lookup(units, scored.withColumnRenamed("word", "_word"), [(F.col("word"), "_word")])
     # One column per class: cnt x (floor at the word's level + its extra log count there).
     deltas = F.map_from_entries(F.coalesce("deltas", F.array().cast("array<struct<lang:string,delta:double>>")))
