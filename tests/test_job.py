@@ -1,5 +1,6 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from titlemill.plans.enrich import enrich, run
@@ -107,3 +108,51 @@ def test_model_calls_are_dealt_over_partitions(spark):
     texts = spark.range(200).select(F.col("id").cast("string").alias("name"), F.lit("c").alias("context"))
     made = structured(texts, "rules", chat, batch_size=1000, concurrency=7)
     assert made.count() == 200 and seen.value == 7
+
+
+class Lost(BaseException):
+    """Stands for a driver lost after the model: no handler of the job catches it."""
+
+
+def test_run_started_again_pays_for_no_reply_twice(spark, tmp_path):
+    chat, embedder = models()
+    calls = spark.sparkContext.accumulator(0)
+
+    def counted(talks):
+        calls.add(len(talks))
+        return chat(talks)
+
+    def lost(texts):
+        raise Lost()
+
+    folder = str(tmp_path / "run")
+    items = make_items(spark)
+    with pytest.raises(Exception):
+        run(items, snapshots(spark), "rules", counted, lost, NOW, folder, dimension=1)
+    paid = calls.value
+    assert paid >= 3  # Alpha, Beta and three tries of Bad
+    final = run(items, snapshots(spark), "rules", counted, embedder, NOW, folder, dimension=1)
+    assert calls.value == paid  # the second run found every reply in the store
+    fresh = run(items, snapshots(spark), "rules", chat, embedder, NOW, str(tmp_path / "fresh"), dimension=1)
+    strip = lambda rows: sorted((r["id"], r["description"], r["embedding"]) for r in rows)
+    assert strip(final.collect()) == strip(fresh.collect())
+
+
+def test_reply_store_keys_by_conversation_and_attempt(spark, tmp_path):
+    from titlemill.operators.replies import ReplyStore
+
+    calls = spark.sparkContext.accumulator(0)
+
+    def echo(talks):
+        calls.add(len(talks))
+        return [t[-1]["content"].upper() for t in talks]
+
+    store = ReplyStore(str(tmp_path))
+    rows = spark.createDataFrame([("a", "x"), ("b", "x"), ("c", "y"), (None, "z")], "name string, context string")
+    talk = F.array(F.struct(F.lit("user").alias("role"), F.col("context").alias("content")))
+    first = {r["name"]: r["reply"] for r in store.ask(rows, "name", talk, echo, 1, 2).collect()}
+    assert first == {"a": "X", "b": "X", "c": "Y", None: "Z"} and calls.value == 3  # equal conversations asked once
+    again = {r["name"]: r["reply"] for r in store.ask(rows, "name", talk, echo, 1, 2).collect()}
+    assert again == first and calls.value == 3
+    store.ask(rows.where("name = 'c'"), "name", talk, echo, 2, 2).collect()
+    assert calls.value == 4  # a later attempt is a new call

@@ -20,6 +20,7 @@ from titlemill.operators.model import (
     structure,
 )
 from titlemill.operators.pages import with_context
+from titlemill.operators.replies import ReplyStore
 from titlemill.operators.runlog import FAILED, OK, quarantine, succeeded, write_report
 from titlemill.session import durable
 from titlemill.sources.items import fetch_for_embedding, scan_unenriched
@@ -51,18 +52,27 @@ def structured(
     batch_size: int = BATCH_SIZE,
     max_attempts: int = MAX_ATTEMPTS,
     concurrency: int | None = None,
+    replies: ReplyStore | None = None,
 ) -> DataFrame:
     """name, error, attempts and the validated record of each text; failures are tried again.
 
     Texts are dealt over `concurrency` partitions, each of which calls the model in turn; None
-    takes the session's number of shuffle partitions.
+    takes the session's number of shuffle partitions. With a reply store, conversations it holds
+    for an attempt are read from it and only the others asked (and stored).
     """
     calls = concurrency or parallel_calls(texts)
 
-    def attempt(rows: DataFrame, _: int) -> DataFrame:
+    def attempt(rows: DataFrame, number: int) -> DataFrame:
         dealt = rows.select("name", "context").repartition(calls, "name")
-        replies = structure(dealt, "name", messages(system, F.col("context")), model, batch_size)
-        checked = replies.withColumn("record", validate(F.col("reply")))
+        talk = messages(system, F.col("context"))
+        if replies is None:
+            answered = structure(dealt, "name", talk, model, batch_size)
+        else:
+            answered = replies.ask(dealt, "name", talk, model, number, calls, batch_size)
+        return validated(answered)
+
+    def validated(answered: DataFrame) -> DataFrame:
+        checked = answered.withColumn("record", validate(F.col("reply")))
         return checked.select(
             "name",
             F.coalesce("error", F.when(~F.col("record.valid"), F.col("record.error"))).alias(
@@ -89,9 +99,13 @@ def enrich(
     batch_size: int = BATCH_SIZE,
     max_attempts: int = MAX_ATTEMPTS,
     concurrency: int | None = None,
+    replies: ReplyStore | None = None,
 ) -> Enriched:
     """Enrich the oldest `limit` unenriched items, or the (id, title) rows of `only`.
 
+    With `replies`, model replies are kept by conversation and attempt in that store and read from
+    it when a run is started again (see `ReplyStore`).
+
     Items without a title have nothing to look up: they are logged as failed and quarantined.
 
     Titles, not items, are looked up and sent to the model: equal titles have equal contexts.
@@ -102,11 +116,11 @@ def enrich(
         selected = durable(selected)
     titled = selected.where(F.col("title").isNotNull())
     texts = durable(contexts(titled, snapshots))
-    replies = structured(texts, system, model, batch_size, max_attempts, concurrency)
+    answers = structured(texts, system, model, batch_size, max_attempts, concurrency, replies)
     year = F.col("extra")["founding_year"]
     records = durable(
         texts.select("name", "copies", "source", "extra", F.length("context").alias("chars"))
-        .join(replies, "name")
+        .join(answers, "name")
         .withColumn("metrics", with_founding_year(F.col("metrics"), year))
     )
     untitled = selected.where(F.col("title").isNull()).select(
@@ -157,12 +171,15 @@ def run(
 ) -> DataFrame:
     """One production run written below `folder`; returns the item table with vectors.
 
-    Tables: enriched, log, quarantine, items, vectors, report/*. The input is never overwritten:
-    a new snapshot is written beside it.
+    Tables: replies, enriched, log, quarantine, items, vectors, report/*. The input is never
+    overwritten: a new snapshot is written beside it. Chat replies are kept in `folder`'s reply
+    store as they arrive, so the same call with the same folder after a lost driver asks the model
+    only for conversations it had not yet answered.
     """
     spark = items.sparkSession
     result = enrich(
-        items, snapshots, system, chat, now, limit, only, batch_size, max_attempts, concurrency
+        items, snapshots, system, chat, now, limit, only, batch_size, max_attempts, concurrency,
+        ReplyStore(folder),
     )
     result.items.write.mode("overwrite").parquet(f"{folder}/enriched")
     result.log.write.mode("overwrite").parquet(f"{folder}/log")

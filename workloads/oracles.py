@@ -480,6 +480,10 @@ SQL = {
 }
 
 
+# A run started again after its driver was lost gives the rows of a run that was not.
+SQL["resumed_enrich_job"] = SQL["enrich_job"]
+
+
 def oracle(name: str) -> str:
     parts, query = SQL[name]
     if not parts:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from titlemill.functions import html, reply as R, slug, vectors as V
 from titlemill.functions.feed import feed_categories, looks_like_feed
 from titlemill.operators import attempts, discovery, merge, model, numbering, pages, runlog
+from titlemill.operators.replies import ReplyStore
 from titlemill.plans.enrich import contexts, enrich
 from titlemill.schema import MEDIA_ITEM
 from titlemill.session import durable, scratch_folder
@@ -432,20 +433,22 @@ def attempts_rerun(spark, sf_dir):
     return attempts.run_with_attempts(docs, "id", step)
 
 
-def enrich_job(spark, sf_dir):
+def _enrich_items(spark, sf_dir):
     fields = [
         T.StructField(f.name, f.dataType)
         for f in MEDIA_ITEM
         if f.name not in ("id", "title", "description", "category")
     ]
-    items = derive.outlets(spark, sf_dir).select(
+    return derive.outlets(spark, sf_dir).select(
         "id",
         "title",
         F.when(F.col("lang") == "fr", "done").alias("description"),
         F.lit("old").alias("category"),
         *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields],
     )
-    result = enrich(items, derive.snapshots(spark, sf_dir), stubs.SYSTEM, stubs.chat, NOW)
+
+
+def _enrich_rows(result):
     log = result.log.select("id", "status", "source", "context_chars", "attempts", "tier")
     return result.items.select(
         "id",
@@ -457,6 +460,21 @@ def enrich_job(spark, sf_dir):
     ).join(log, "id", "left")
 
 
+def enrich_job(spark, sf_dir):
+    items = _enrich_items(spark, sf_dir)
+    return _enrich_rows(enrich(items, derive.snapshots(spark, sf_dir), stubs.SYSTEM, stubs.chat, NOW))
+
+
+def resumed_enrich_job(spark, sf_dir):
+    """enrich_job run again after a driver lost past the model: the first run's replies are in the
+    store, and the second run's model refuses every call, so any reply paid twice shows as a
+    failure and the rows differ from enrich_job's."""
+    store = ReplyStore(scratch_folder(spark, "replies"))
+    items, snapshots = _enrich_items(spark, sf_dir), derive.snapshots(spark, sf_dir)
+    enrich(items, snapshots, stubs.SYSTEM, stubs.chat, NOW, replies=store)  # replies are stored as they arrive
+    return _enrich_rows(enrich(items, snapshots, stubs.SYSTEM, stubs.refuse, NOW, replies=store))
+
+
 # Streams
 
 
@@ -540,6 +558,7 @@ QUERIES: dict[str, Query] = {
     "embedding_totals": embedding_totals,
     "attempts_rerun": attempts_rerun,
     "enrich_job": enrich_job,
+    "resumed_enrich_job": resumed_enrich_job,
     "pending_stream": pending_stream,
     "count_or_time": count_or_time,
 }

@@ -29,6 +29,11 @@ def chat(conversations: list[list[dict]]) -> list[str]:
     return replies
 
 
+def refuse(conversations: list[list[dict]]) -> list[str]:
+    """A model that must not be asked: every call fails, and so shows as an error."""
+    raise RuntimeError(f"asked again for {len(conversations)} conversations")
+
+
 def embedder(texts: list[str]) -> list[list[float]]:
     """Length, number of blanks and number of full stops; one value short for blank-free texts."""
     vectors = []
