@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -63,31 +64,30 @@ def _tokenizers(a_path: str, b_path: str):
     return a, a_bytes, np.array([len(x) for x in a_bytes]), b, b_bytes, np.array([len(x) for x in b_bytes])
 
 
-def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int]]:
-    """(last A index, last B index) of every group, in order; both arrays rise strictly to one total.
+def groups(ends_a, ends_b) -> list[tuple[int, int]]:
+    """(last A index, last B index) of every group, in order; both sequences rise strictly to one total.
 
     Diagonal run skipping: slices of 1, 2, 4, ... positions along the current diagonal are
     compared whole; a wholly equal slice is jumped, the first unequal position starts an irregular
-    group resolved by binary search on both sides.
+    group resolved by binary search on both sides. Works on Python lists: slices and searches run
+    in C, with no per-call cost of an array library on runs of a few tokens.
     """
-    out_a: list[np.ndarray] = []
-    out_b: list[np.ndarray] = []
+    ends_a, ends_b = list(map(int, ends_a)), list(map(int, ends_b))
+    out: list[tuple[int, int]] = []
     n_a, n_b = len(ends_a), len(ends_b)
     i = j = 0
     while i < n_a and j < n_b:
         width = 1
         while i < n_a and j < n_b:  # exponential probing along the diagonal j - i
             m = min(width, n_a - i, n_b - j)
-            same = ends_a[i:i + m] == ends_b[j:j + m]
-            if same.all():
-                out_a.append(np.arange(i, i + m))
-                out_b.append(np.arange(j, j + m))
+            if ends_a[i:i + m] == ends_b[j:j + m]:
+                out.extend(zip(range(i, i + m), range(j, j + m)))
                 i, j, width = i + m, j + m, width * 2
                 continue
-            k = int(np.argmin(same))
-            if k:
-                out_a.append(np.arange(i, i + k))
-                out_b.append(np.arange(j, j + k))
+            k = 0
+            while ends_a[i + k] == ends_b[j + k]:  # the first unequal place, within this slice
+                k += 1
+            out.extend(zip(range(i, i + k), range(j, j + k)))
             i, j = i + k, j + k
             break
         if i >= n_a or j >= n_b:
@@ -95,17 +95,14 @@ def groups(ends_a: np.ndarray, ends_b: np.ndarray) -> list[tuple[int, int]]:
         end_a, end_b = ends_a[i], ends_b[j]
         while end_a != end_b:  # an irregular group: the side behind catches up
             if end_a < end_b:
-                i = int(np.searchsorted(ends_a, end_b))
+                i = bisect_left(ends_a, end_b, i)
                 end_a = ends_a[i]
             else:
-                j = int(np.searchsorted(ends_b, end_a))
+                j = bisect_left(ends_b, end_a, j)
                 end_b = ends_b[j]
-        out_a.append(np.array([i]))
-        out_b.append(np.array([j]))
+        out.append((i, j))
         i, j = i + 1, j + 1
-    if not out_a:
-        return []
-    return list(zip(np.concatenate(out_a).tolist(), np.concatenate(out_b).tolist(), strict=True))
+    return out
 
 
 def align_text(text: str | None, tables) -> tuple[list[int], list[int], list[tuple[int, int]]]:
@@ -117,22 +114,23 @@ def align_text(text: str | None, tables) -> tuple[list[int], list[int], list[tup
     target = (" " + text).encode("utf-8", "surrogatepass")
     ids_a = a.encode(" " + text, add_special_tokens=False).ids
     ids_b = b.encode(text)
-    if b"".join(a_bytes[x] for x in ids_a) != target or b"".join(b_bytes[x] for x in ids_b) != target:
+    if b"".join(map(a_bytes.__getitem__, ids_a)) != target or b"".join(map(b_bytes.__getitem__, ids_b)) != target:
         return [], [], []
-    ends_a = np.cumsum(a_len[ids_a])
-    ends_b = np.cumsum(b_len[ids_b])
-    if (np.diff(ends_a, prepend=0) <= 0).any() or (np.diff(ends_b, prepend=0) <= 0).any():
+    if not (a_len[ids_a] > 0).all() or not (b_len[ids_b] > 0).all():
         return [], [], []  # an empty token would make ends ambiguous
-    return ids_a, ids_b, groups(ends_a, ends_b)
+    return ids_a, ids_b, groups(np.cumsum(a_len[ids_a]).tolist(), np.cumsum(b_len[ids_b]).tolist())
 
 
 def digest(ids_a: list[int], ids_b: list[int], ends: list[tuple[int, int]]) -> str:
+    """sha256 of ``a1,a2|b1;a3|b2,b3``: each group's A ids, then its B ids; '' without groups."""
     if not ends:
         return ""
-    parts, start_a, start_b = [], 0, 0
-    for last_a, last_b in ends:
-        parts.append(",".join(map(str, ids_a[start_a:last_a + 1])) + "|" + ",".join(map(str, ids_b[start_b:last_b + 1])))
-        start_a, start_b = last_a + 1, last_b + 1
+    text_a, text_b, join = list(map(str, ids_a)), list(map(str, ids_b)), ",".join
+    last_a, last_b = [e + 1 for e, _ in ends], [e + 1 for _, e in ends]
+    parts = [
+        join(text_a[x:y]) + "|" + join(text_b[u:v])
+        for x, y, u, v in zip([0, *last_a[:-1]], last_a, [0, *last_b[:-1]], last_b, strict=True)
+    ]
     return hashlib.sha256(";".join(parts).encode()).hexdigest()
 
 
