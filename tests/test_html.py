@@ -113,6 +113,12 @@ def test_body_text_of_a_large_page(spark):
     assert len(got) == 3000
 
 
+def test_feed_categories_run_in_the_jvm(spark):
+    df = spark.createDataFrame([("<rss/>",)], "x string").select(feed_categories(F.col("x")))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "ArrowEval" not in plan
+
+
 def test_feed_categories(spark, evaluate):
     cases = {
         "<rss><channel><item><category> B </category><category>A</category></item>"
@@ -129,6 +135,19 @@ def test_feed_categories(spark, evaluate):
         None: None,
     }
     assert evaluate(feed_categories, list(cases)) == list(cases.values())
+    more = {
+        "<rss><item><category>A</category></item></rss>\n  \t": ["A"],
+        "<rss><item><category>A</category></item></rss><rss/>": [],
+        "<rss><item><category>A</category></item></rss> x": [],
+        "<?xml version='1.0'?>\n<!-- c --><rss><channel><item><category>A &amp; B</category></item></channel></rss>": ["A & B"],
+        "<rss><item><category>A</item></category></rss>": [],
+        "<rss><item><category domain='x'>D</category></item></rss>": ["D"],
+        "<rss><item><category><![CDATA[C]]></category></item></rss>": ["C"],
+        '<feed xmlns="http://www.w3.org/2005/Atom"><entry><category term="t"/></entry></feed> x': [],
+        "": [],
+        "<rss>": [],
+    }
+    assert evaluate(feed_categories, list(more)) == list(more.values())
     marks = {"<?xml version='1.0'?><rss/>": True, " " * 296 + "<?xml": False, "<html>": False}
     assert evaluate(looks_like_feed, list(marks)) == list(marks.values())
 

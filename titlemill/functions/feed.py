@@ -2,16 +2,9 @@
 
 from __future__ import annotations
 
-import xml.etree.ElementTree as ElementTree
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
-from titlemill.schema import STRINGS
-
 MAX_CATEGORIES = 15
-_ATOM = "{http://www.w3.org/2005/Atom}"
 
 
 def looks_like_feed(body: Column) -> Column:
@@ -19,35 +12,51 @@ def looks_like_feed(body: Column) -> Column:
     return F.contains(F.substring(body, 1, 300), F.lit("<?xml"))
 
 
-def _categories(document: str | None) -> list[str] | None:
-    if document is None:
-        return None
-    try:
-        root = ElementTree.fromstring(document)
-    except (ElementTree.ParseError, ValueError):
-        return []
-    items = (c.text for i in root.iter("item") for c in i.findall("category"))
-    found = [text.strip() for text in items if text]
-    if found:
-        return found
-    return [
-        c.get("term", "")
-        for e in root.findall(f"{_ATOM}entry")
-        for c in e.findall(f"{_ATOM}category")
-    ]
-
-
-@F.pandas_udf(STRINGS)
-def _category_values(documents: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    # `xpath` fails the whole job on one malformed document and `from_xml` accepts text after the
-    # root element, so the well-formedness rule needs a real parser.
-    for batch in documents:
-        yield batch.map(_categories, na_action="ignore")
+# The document as XML: categories of items at the root (RSS 1.0) or in its channel (RSS 2.0), and
+# of entries at the root (Atom). Text and attributes of a category both fit one struct.
+_CATEGORY = "array<struct<_VALUE:string,_term:string>>"
+_ITEMS = f"array<struct<category:{_CATEGORY}>>"
+_SCHEMA = f"struct<item:{_ITEMS},channel:struct<item:{_ITEMS}>,entry:{_ITEMS},_corrupt_record:string>"
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "ignoreSurroundingSpaces": "false"}
+# Prolog: an XML declaration, comments, processing instructions and a doctype before the root.
+_PROLOG = r"^\s*(?:<\?[^>]*\?>\s*|<!--.*?-->\s*|<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>\s*)*"
+_NAME = r"[A-Za-z_][A-Za-z0-9_:.\-]*"
+_ATOM_ROOT = _PROLOG + r"<feed\s[^>]*?xmlns\s*=\s*[\"']http://www\.w3\.org/2005/Atom[\"']"
+
+
+def _well_formed_end(body: Column) -> Column:
+    """True where nothing but blanks follows the root element: its own end tag closes the text,
+    or the root is one empty element. A parser of one row stops at the root's end and would not
+    see what follows."""
+    root = F.regexp_extract(body, _PROLOG + f"<({_NAME})", 1)
+    quoted = F.regexp_replace(root, r"([.\-])", r"\\$1")
+    closed = F.regexp_like(body, F.concat(F.lit("</"), quoted, F.lit(r"\s*>\s*$")))
+    empty = F.regexp_like(body, F.concat(F.lit(_PROLOG + "<"), quoted, F.lit(r"(?:\s[^>]*)?/>\s*$")))
+    return (root != "") & (closed | empty)
+
+
+def _category_values(body: Column) -> Column:
+    """Categories of a feed in document order, before sorting; empty for malformed text."""
+    parsed = F.from_xml(body, _SCHEMA, _OPTIONS)
+    items = F.concat(F.coalesce(parsed["item"], F.array().cast(_ITEMS)), F.coalesce(parsed["channel"]["item"], F.array().cast(_ITEMS)))
+    texts = F.flatten(F.transform(items, lambda i: F.coalesce(i["category"], F.array().cast(_CATEGORY))))
+    rss = F.transform(
+        F.filter(texts, lambda c: c["_VALUE"].isNotNull() & (c["_VALUE"] != "")),
+        lambda c: F.regexp_replace(c["_VALUE"], r"^\s+|\s+$", ""),
+    )
+    entries = F.coalesce(parsed["entry"], F.array().cast(_ITEMS))
+    atom = F.transform(F.flatten(F.transform(entries, lambda e: F.coalesce(e["category"], F.array().cast(_CATEGORY)))),
+                       lambda c: F.coalesce(c["_term"], F.lit("")))
+    found = F.when(F.size(rss) > 0, rss).when(body.rlike(_ATOM_ROOT), atom).otherwise(F.array().cast("array<string>"))
+    ok = parsed["_corrupt_record"].isNull() & _well_formed_end(body)
+    return F.when(body.isNotNull(), F.when(ok, found).otherwise(F.array().cast("array<string>")))
 
 
 def feed_categories(body: Column) -> Column:
     """Distinct categories in order, at most 15; empty for malformed text, NULL for NULL.
 
-    Pass NULL for rows that are no feed: they then cross to Python as a null bit only.
+    Parsed inside the JVM by `from_xml` on a fixed schema: items at the root or in its channel,
+    Atom entries at the root of a feed whose default namespace is Atom (prefixed Atom names are
+    not read). Malformed text is a corrupt record, or text after the root element's end.
     """
     return F.slice(F.array_sort(F.array_distinct(_category_values(body))), 1, MAX_CATEGORIES)
