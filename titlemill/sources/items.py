@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from titlemill.operators.numbering import with_index
+from titlemill.operators.selection import first_rows
 
 
 def unenriched() -> Column:
@@ -15,16 +15,20 @@ def unenriched() -> Column:
 def scan_unenriched(items: DataFrame, limit: int | None = None) -> DataFrame:
     """Ids and titles of the oldest `limit` unenriched items; every one for None or 0.
 
-    The order is by age, then id. It only decides which rows a limit keeps: without a limit
-    nothing is sorted.
+    The order is by age, items without a time last, then id. It only decides which rows a limit
+    keeps: without a limit nothing is sorted, with one only the items near the cut are.
     """
     todo = items.where(unenriched()).select(
         F.col("id").cast("string").alias("id"), "title", "created_at"
     )
     if not limit:
         return todo.select("id", "title")
-    numbered = with_index(todo, ["created_at", "id"], "position")
-    return numbered.where(F.col("position") < limit).select("id", "title")
+    if todo.schema["created_at"].dataType.typeName() == "timestamp_ntz":
+        micros = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', created_at)")
+    else:
+        micros = F.unix_micros("created_at")
+    age = F.coalesce(micros, F.lit((1 << 63) - 1))
+    return first_rows(todo, age, "id", limit).select("id", "title")
 
 
 def count_unenriched(items: DataFrame) -> DataFrame:
