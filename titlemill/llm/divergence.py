@@ -160,7 +160,13 @@ def audit(docs: DataFrame) -> DataFrame:
         .select("lang", "source", F.lit("term").alias("part"), F.col("term").alias("item"), divergence("p", "q").alias("value"))
     )
     ranked = Window.partitionBy("lang", "source", "part").orderBy(F.col("value").desc(), F.encode("item", "UTF-8"))
-    term_part = term_rows.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= TOP_TERMS)
+    # Spread by item first: the window then needs a shuffle of its own, before which Spark keeps
+    # the best TOP_TERMS of each group per task, so a source with a third of all rows is no hot task.
+    term_part = (
+        term_rows.repartition("lang", "source", "item")
+        .withColumn("rank", F.row_number().over(ranked))
+        .where(F.col("rank") <= TOP_TERMS)
+    )
 
     # Part pair: accumulators over term buckets, plus every term at both baselines.
     postings = held.join(groups.select("lang", "source", "g", "n", "v"), ["lang", "source"]).select(
