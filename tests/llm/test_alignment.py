@@ -91,4 +91,4 @@ def test_groups_are_the_common_ends(a, b):
     ends_b = np.unique(ends_b)
     common = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
     want = [(int(np.searchsorted(ends_a, e)), int(np.searchsorted(ends_b, e))) for e in common]
-    assert alignment.groups(ends_a, ends_b) == want
+    assert alignment.groups(ends_a.tolist(), ends_b.tolist()) == want

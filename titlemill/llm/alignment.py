@@ -69,10 +69,9 @@ def groups(ends_a, ends_b) -> list[tuple[int, int]]:
 
     Diagonal run skipping: slices of 1, 2, 4, ... positions along the current diagonal are
     compared whole; a wholly equal slice is jumped, the first unequal position starts an irregular
-    group resolved by binary search on both sides. Works on Python lists: slices and searches run
-    in C, with no per-call cost of an array library on runs of a few tokens.
+    group resolved by binary search on both sides. Takes Python lists of ints: slices and searches
+    run in C, with no per-call cost of an array library on runs of a few tokens.
     """
-    ends_a, ends_b = list(map(int, ends_a)), list(map(int, ends_b))
     out: list[tuple[int, int]] = []
     n_a, n_b = len(ends_a), len(ends_b)
     i = j = 0
@@ -134,32 +133,46 @@ def digest(ids_a: list[int], ids_b: list[int], ends: list[tuple[int, int]]) -> s
     return hashlib.sha256(";".join(parts).encode()).hexdigest()
 
 
+LINK_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())]))
+
+
+def align_block(batch: pa.RecordBatch, tables) -> pa.RecordBatch:
+    """Counts, digest and distinct links (a, b, m) of each text of a (doc_id, text) block."""
+    n_a, n_b, n_groups, sums = [], [], [], []
+    link_a, link_b, link_m, offsets = [], [], [], [0]
+    for text in batch.column(1).to_pylist():
+        ids_a, ids_b, ends = align_text(text, tables)
+        n_a.append(len(ids_a))
+        n_b.append(len(ids_b))
+        n_groups.append(len(ends))
+        sums.append(digest(ids_a, ids_b, ends))
+        if ends:
+            last = np.array(ends, dtype=np.int64)
+            pair = np.asarray(ids_a, dtype=np.int64)[last[:, 0]] << 32 | np.asarray(ids_b, dtype=np.int64)[last[:, 1]]
+            keys, mult = np.unique(pair, return_counts=True)
+            link_a.append(keys >> 32)
+            link_b.append(keys & 0xFFFFFFFF)
+            link_m.append(mult)
+        offsets.append(offsets[-1] + (len(link_a[-1]) if ends else 0))
+    flat = lambda parts, kind: pa.array(np.concatenate(parts) if parts else np.zeros(0), kind)
+    links = pa.ListArray.from_arrays(
+        pa.array(offsets, pa.int32()),
+        pa.StructArray.from_arrays([flat(link_a, pa.int32()), flat(link_b, pa.int32()), flat(link_m, pa.int64())], ["a", "b", "m"]),
+    )
+    return pa.record_batch(
+        [batch.column(0), pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(n_groups, pa.int64()),
+         pa.array(sums, pa.string()), links.cast(LINK_TYPE)],
+        names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"],
+    )
+
+
 def aligned_rows(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
-    """Per row: doc_id, n_a, n_b, n_groups, n_links, groups_sha256 and its distinct links (a, b, m)."""
+    """Per row: doc_id, n_a, n_b, n_groups, groups_sha256 and its distinct links (a, b, m)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _tokenizers(a_path, b_path)
         for batch in blocks(batches, "text"):
-            counts = {k: [] for k in ("n_a", "n_b", "n_groups")}
-            sums, links = [], []
-            for text in batch.column(1).to_pylist():
-                ids_a, ids_b, ends = align_text(text, tables)
-                counts["n_a"].append(len(ids_a))
-                counts["n_b"].append(len(ids_b))
-                counts["n_groups"].append(len(ends))
-                sums.append(digest(ids_a, ids_b, ends))
-                if ends:
-                    last = np.array(ends)
-                    pair = np.asarray(ids_a)[last[:, 0]].astype(np.int64) << 32 | np.asarray(ids_b)[last[:, 1]].astype(np.int64)
-                    keys, mult = np.unique(pair, return_counts=True)
-                    links.append([{"a": int(k >> 32), "b": int(k & 0xFFFFFFFF), "m": int(c)} for k, c in zip(keys, mult, strict=True)])
-                else:
-                    links.append([])
-            yield pa.record_batch(
-                [batch.column(0), *[pa.array(v, pa.int64()) for v in counts.values()], pa.array(sums, pa.string()),
-                 pa.array(links, pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("m", pa.int64())])))],
-                names=["doc_id", "n_a", "n_b", "n_groups", "groups_sha256", "links"],
-            )
+            yield align_block(batch, tables)
 
     id_type = docs.schema["doc_id"].dataType.simpleString()
     narrow = docs.select(F.col("doc_id"), whole_text().alias("text"))
