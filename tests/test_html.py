@@ -156,3 +156,20 @@ def test_linked_data_inside_comments_is_passed_over(evaluate):
     block = lambda name: f'<script type="application/ld+json">{{"@type": "Organization", "name": "{name}"}}</script>'
     cases = {f"<!-- {block('no')} -->{block('yes')}": "yes", block("a <!-- b --> c"): "a <!-- b --> c", f"<!--{block('no')}-->": None}
     assert evaluate(lambda page: html.organisation_markup(page)["name"], list(cases)) == list(cases.values())
+
+
+def _plan(df):
+    return df._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_feed_is_parsed_once(spark):
+    df = spark.createDataFrame([("<rss/>",)], "x string")
+    assert _plan(df.select(feed_categories(F.col("x")).alias("y"))).count("from_xml(") == 1
+
+
+def test_feed_categories_are_trimmed_as_by_the_pattern(evaluate):
+    values = [" A", "A ", "\tB\n", "C\u0085", "C \u0085", "\u00a0D", "", "  ", "A"]
+    feed = "<rss><channel>%s</channel></rss>" % "".join(
+        f"<item><category>{v}</category></item>" for v in values
+    )
+    assert evaluate(feed_categories, [feed]) == [["A", "B", "C\u0085", "\u00a0D"]]

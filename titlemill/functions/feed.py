@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from titlemill.functions.text import let, nz
+
 MAX_CATEGORIES = 15
 
 
@@ -36,20 +38,37 @@ def _well_formed_end(body: Column) -> Column:
 
 
 def _category_values(body: Column) -> Column:
-    """Categories of a feed in document order, before sorting; empty for malformed text."""
-    parsed = F.from_xml(body, _SCHEMA, _OPTIONS)
-    items = F.concat(F.coalesce(parsed["item"], F.array().cast(_ITEMS)), F.coalesce(parsed["channel"]["item"], F.array().cast(_ITEMS)))
-    texts = F.flatten(F.transform(items, lambda i: F.coalesce(i["category"], F.array().cast(_CATEGORY))))
-    rss = F.transform(
-        F.filter(texts, lambda c: c["_VALUE"].isNotNull() & (c["_VALUE"] != "")),
-        lambda c: F.regexp_replace(c["_VALUE"], r"^\s+|\s+$", ""),
-    )
-    entries = F.coalesce(parsed["entry"], F.array().cast(_ITEMS))
-    atom = F.transform(F.flatten(F.transform(entries, lambda e: F.coalesce(e["category"], F.array().cast(_CATEGORY)))),
-                       lambda c: F.coalesce(c["_term"], F.lit("")))
-    found = F.when(F.size(rss) > 0, rss).when(body.rlike(_ATOM_ROOT), atom).otherwise(F.array().cast("array<string>"))
-    ok = parsed["_corrupt_record"].isNull() & _well_formed_end(body)
-    return F.when(body.isNotNull(), F.when(ok, found).otherwise(F.array().cast("array<string>")))
+    """Categories of a feed, before sorting; empty for malformed text.
+
+    The parsed feed and its items' categories are bound, so a text is parsed once.
+    """
+    no_items, no_categories = F.array().cast(_ITEMS), F.array().cast(_CATEGORY)
+    nothing = F.array().cast("array<string>")
+
+    def categories(items: Column) -> Column:
+        return F.flatten(F.transform(items, lambda i: F.coalesce(i["category"], no_categories)))
+
+    def read(parsed: Column) -> Column:
+        items = F.concat(F.coalesce(parsed["item"], no_items), F.coalesce(parsed["channel"]["item"], no_items))
+        texts = F.transform(categories(items), lambda c: nz(c["_VALUE"]))
+        rss = F.transform(F.array_compact(F.array_distinct(texts)), _trimmed)
+        entries = F.coalesce(parsed["entry"], no_items)
+        atom = F.transform(categories(entries), lambda c: F.coalesce(c["_term"], F.lit("")))
+        found = let(rss, lambda r: F.when(F.size(r) > 0, r).when(body.rlike(_ATOM_ROOT), atom).otherwise(nothing))
+        return F.when(parsed["_corrupt_record"].isNull(), found).otherwise(nothing)
+
+    parsed = let(F.from_xml(body, _SCHEMA, _OPTIONS), read)
+    return F.when(body.isNotNull(), F.when(_well_formed_end(body), parsed).otherwise(nothing))
+
+
+# Every character that `\s` or the end of a line in a pattern may stand for.
+_ENDS = " \t\n\x0b\f\r\x85\u2028\u2029"
+
+
+def _trimmed(text: Column) -> Column:
+    """`text` without blanks at its ends; the pattern runs only where there may be some."""
+    bare = F.btrim(text, F.lit(_ENDS)) == text
+    return F.when(bare, text).otherwise(F.regexp_replace(text, r"^\s+|\s+$", ""))
 
 
 def feed_categories(body: Column) -> Column:
