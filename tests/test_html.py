@@ -173,3 +173,26 @@ def test_feed_categories_are_trimmed_as_by_the_pattern(evaluate):
         f"<item><category>{v}</category></item>" for v in values
     )
     assert evaluate(feed_categories, [feed]) == [["A", "B", "C\u0085", "\u00a0D"]]
+
+
+def test_a_segment_is_taken_apart_once(spark):
+    df = spark.createDataFrame([("<p>x</p>",)], "x string")
+    assert _plan(df.select(html.body_text(F.col("x")).alias("y"))).count(html._TAG) == 2
+
+
+def test_patterns_run_only_where_a_tag_may_match(evaluate):
+    for upper in (False, True):
+        case = (lambda text: text.upper()) if upper else (lambda text: text)
+        page = case("<title>t</title><style>s</style><p>" + LONG + "</p>")
+        assert evaluate(html.page_title, [page, "t", None]) == [case("t"), "", None]
+        assert evaluate(html.body_text, [page, "t", None]) == [case(LONG), "", ""]
+        assert evaluate(html.visible, [page, "t", None])[1:] == ["t", None]
+        assert "s</" not in evaluate(html.visible, [page])[0].lower()
+
+
+def test_tags_without_a_container_do_not_move_the_walk(evaluate):
+    page = (
+        f'<ul><li></ul><div><div class="content"><div></div><span></span></li><p>{LONG}</p></div>'
+        f"<p>{OTHER}</p></div>"
+    )
+    assert evaluate(html.body_text, [page]) == [LONG]

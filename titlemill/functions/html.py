@@ -71,9 +71,20 @@ def unescape(text: Column) -> Column:
     return let(text, decode)
 
 
+def _may_hold(page: Column, *tags: str) -> Column:
+    """False where no tag of `page` begins like one of `tags`. Looks for bytes only, so that the
+    patterns below are spared the pages they cannot match."""
+    starts = sorted({f"<{c}" for tag in tags for c in (tag[0].lower(), tag[0].upper())})
+    found = F.contains(page, F.lit(starts[0]))
+    for start in starts[1:]:
+        found = found | F.contains(page, F.lit(start))
+    return found
+
+
 def visible(page: Column) -> Column:
     """The page without comments, scripts and style sheets."""
-    return F.regexp_replace(page, _HIDDEN, " ")
+    hidden = _may_hold(page, "!--", "script", "style")
+    return F.when(hidden, F.regexp_replace(page, _HIDDEN, " ")).otherwise(page)
 
 
 def _text_nodes(fragment: Column) -> Column:
@@ -88,7 +99,9 @@ def page_title(page: Column) -> Column:
 
 def title_of(clean: Column) -> Column:
     """`page_title` of a page that `visible` has been applied to."""
-    return strip(unescape(F.regexp_extract(clean, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)))
+    title = F.regexp_extract(clean, r"(?is)<title\b[^>]*>(.*?)</title\s*>", 1)
+    absent = ~_may_hold(clean, "title")
+    return F.when(absent, "").otherwise(strip(unescape(title)))
 
 
 def _attribute(tag: Column, name: str) -> Column:
@@ -108,9 +121,11 @@ def meta_content(page: Column, attribute: str, value: str) -> Column:
 
 def meta_tags(clean: Column) -> Column:
     """All `<meta>` tags of a page that `visible` has been applied to."""
-    return F.regexp_extract_all(
+    tags = F.regexp_extract_all(
         clean, F.lit(r"(?i)<meta\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"), F.lit(0)
     )
+    absent = ~_may_hold(clean, "meta")
+    return F.when(absent, F.array().cast("array<string>")).otherwise(tags)
 
 
 def meta_of(tags: Column, attribute: str, value: str) -> Column:
@@ -155,7 +170,8 @@ def organisation_markup(page: Column) -> Column:
             F.try_variant_get(node, "$.url", "string").alias("url"),
         )
 
-    return F.get(F.filter(F.transform(blocks, read), lambda b: b["hit"]), F.lit(0))
+    first = F.get(F.filter(F.transform(blocks, read), lambda b: b["hit"]), F.lit(0))
+    return F.when(_may_hold(page, "script"), first)
 
 
 # The containers searched for paragraphs, best first. Each holds one bit of a segment's mask;
@@ -189,17 +205,38 @@ def _opened(tag: Column, name: Column) -> Column:
 
 
 def _segment(part: Column) -> Column:
-    head = F.regexp_extract(part, r"\A" + _TAG, 0)
-    name = F.lower(F.regexp_extract(head, r"\A</?([a-zA-Z][a-zA-Z0-9]*)", 1))
     is_end = F.startswith(part, F.lit("</"))
-    nodes = F.when((name == "p") & ~is_end, _text_nodes(part))
-    kept = F.length(F.array_join(nodes, "")) > MIN_PARAGRAPH
-    return F.struct(
-        name.alias("name"),
-        is_end.alias("is_end"),
-        F.when(is_end, F.lit(0)).otherwise(_opened(head, name)).alias("opened"),
-        F.when(kept, F.array_join(nodes, " ")).alias("text"),
-    )
+
+    def named(head: Column) -> Column:
+        name = F.lower(F.regexp_extract(head, r"\A</?([a-zA-Z][a-zA-Z0-9]*)", 1))
+        return let(name, lambda n: described(head, n))
+
+    def described(head: Column, name: Column) -> Column:
+        paragraph = F.when((name == "p") & ~is_end, let(_text_nodes(part), joined))
+        return F.struct(
+            name.alias("name"),
+            is_end.alias("is_end"),
+            F.when(is_end, F.lit(0)).otherwise(_opened(head, name)).alias("opened"),
+            paragraph.alias("text"),
+        )
+
+    def joined(nodes: Column) -> Column:
+        kept = F.length(F.array_join(nodes, "")) > MIN_PARAGRAPH
+        return F.when(kept, F.array_join(nodes, " "))
+
+    return let(F.regexp_extract(part, r"\A" + _TAG, 0), named)
+
+
+def _telling(segments: Column) -> Column:
+    """The segments a walk depends on: paragraphs, and the tags whose name opens a container."""
+    names = F.transform(F.filter(segments, lambda s: s["opened"] > 0), lambda s: s["name"])
+
+    def kept(opening: Column) -> Column:
+        return F.filter(
+            segments, lambda s: s["text"].isNotNull() | F.array_contains(opening, s["name"])
+        )
+
+    return let(F.array_distinct(names), kept)
 
 
 def _walk(segments: Column) -> Column:
@@ -216,12 +253,15 @@ def _walk(segments: Column) -> Column:
     bits = F.array(*[F.lit(1 << position) for position in range(len(_CONTAINERS) + 1)])
 
     def added(texts: Column, mask: Column, text: Column) -> Column:
-        def grown(own: Column, bit: Column) -> Column:
-            fits = (mask.bitwiseAND(bit) != 0) & (F.length(own) < MAX_BODY)
-            joined = F.when(own == "", text).otherwise(F.concat(own, F.lit(" "), text))
-            return F.when(fits, joined).otherwise(own)
+        def grow(new: Column) -> Column:
+            def grown(own: Column, bit: Column) -> Column:
+                fits = (new["mask"].bitwiseAND(bit) != 0) & (F.length(own) < MAX_BODY)
+                joined = F.when(own == "", new["text"]).otherwise(F.concat(own, F.lit(" "), new["text"]))
+                return F.when(fits, joined).otherwise(own)
+
+            return F.zip_with(texts, bits, grown)
 
-        return F.zip_with(texts, bits, grown)
+        return let(F.struct(mask.alias("mask"), text.alias("text")), grow)
 
     def step(state: Column, segment: Column) -> Column:
         opened, texts = state["open"], state["texts"]
@@ -273,4 +313,5 @@ def body_text_of(clean: Column) -> Column:
         return F.substring(F.coalesce(*best, F.lit("")), 1, MAX_BODY)
 
     segments = F.transform(F.split(clean, _BLOCK), _segment)
-    return let(_walk(segments), cascade)
+    texts = let(let(segments, _telling), _walk)
+    return F.when(_may_hold(clean, "p"), let(texts, cascade)).otherwise("")

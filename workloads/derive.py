@@ -181,7 +181,15 @@ def _paragraphs(text: Column) -> Column:
 
 
 def sites(outlets: DataFrame) -> DataFrame:
-    """base, title, text, lang: one document per guessed address."""
+    """base, title, text, lang: one document per guessed address.
+
+    Texts are small beside the pages made of them and the work to read those, so they are dealt
+    over a fixed number of partitions, which adaptive execution does not merge by size.
+    """
+    spark = outlets.sparkSession
+    parts = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism
+    )
     return (
         outlets.select(
             F.get(slug_candidates(F.col("title")), F.lit(1)).alias("base"),
@@ -192,6 +200,7 @@ def sites(outlets: DataFrame) -> DataFrame:
         .groupBy("base")
         .agg(F.min_by("doc", "doc_id").alias("doc"))
         .select("base", "doc.*")
+        .repartition(parts, F.xxhash64("base"))  # not by "base": dealt so already, and then merged
     )
 
 
