@@ -2,7 +2,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from titlemill.operators import attempts, discovery, lookup, merge, model, numbering, runlog
-from titlemill.operators.pages import site_signals, with_context
+from titlemill.operators import pages as page_operators
+from titlemill.operators.pages import site_signals, wanted_pages, with_context
 from titlemill.sources import items as item_source
 from titlemill.sources.snapshots import Snapshots, best_hits, wiki_page_links
 
@@ -328,3 +329,31 @@ def test_repeated_ids_do_not_multiply(spark):
     )
     both = [merge.last_per_key(u, "id", "seq").first() for u in (updates, updates.orderBy(F.desc("description")))]
     assert both[0] == both[1]
+
+
+def test_only_pages_that_a_name_leads_to_are_read(spark, monkeypatch):
+    long = "This sentence is long enough to be kept as a paragraph."
+    urls = [
+        f"https://s{i}.ua{path}"
+        for i in range(300)
+        for path in ("", "/", "/about", "/rss", "/other", "/about/rss")
+    ]
+    snapshot = spark.createDataFrame([(u, 200, f"<p>{long} {u}</p>") for u in urls], "url string, status int, body string")
+    bases = ["https://s7.ua", "https://s8.ua", "https://s8.ua", None, "https://none.ua"]
+    sites = spark.createDataFrame([(b,) for b in bases], "base string")
+    kept = {r["url"] for r in wanted_pages(snapshot, sites).collect()}
+    wanted = {f"https://s{i}.ua{path}" for i in (7, 8) for path in ("", "/", "/about", "/rss")}
+    assert wanted <= kept and len(kept) < len(urls) / 10
+    assert wanted_pages(snapshot, sites.limit(0)).count() == 0
+
+    read = []
+    whole = page_operators.site_signals
+    monkeypatch.setattr(page_operators, "site_signals", lambda pages: read.append(pages.count()) or whole(pages))
+    found = spark.createDataFrame(
+        [("A", "https://s7.ua/", "slug"), ("B", "https://s9.ua", "wikipedia_uk"), ("C", None, "none")],
+        "name string, url string, source string",
+    ).withColumn("extract", F.lit(None).cast("string"))
+    got = {r["name"]: r["context"] for r in with_context(found, snapshot).collect()}
+    assert read and read[0] < len(urls) / 10
+    assert got == {r["name"]: r["context"] for r in with_context(found, None, whole(snapshot)).collect()}
+    assert long in got["A"]

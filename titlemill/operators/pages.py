@@ -18,12 +18,16 @@ from titlemill.functions.html import (
 )
 from titlemill.functions.text import let, nz, spread_nulls, strip_slashes
 from titlemill.operators.lookup import lookup
+from titlemill.session import durable
 from titlemill.sources.snapshots import page_bodies
 
 # Sub-pages looked for below a site's address, in this order.
 ABOUT_PATHS = ["/about", "/about-us", "/про-нас", "/pro-nas", "/contacts", "/about/us"]
 FEED_PATHS = ["/feed", "/rss", "/feed.xml", "/rss.xml", "/atom.xml"]
 
+# Bits of the map of wanted addresses: 4 MB, whatever the number of titles.
+WANTED_BITS = 1 << 25
+
 
 def page_signals(body: Column) -> Column:
     """Everything read from a home page, as one struct."""
@@ -92,6 +96,40 @@ def feed_pages(page_snapshot: DataFrame) -> DataFrame:
     return sub_pages(page_snapshot, FEED_PATHS, feed_categories(feed), "rss_categories")
 
 
+def _slot(address: Column) -> Column:
+    return F.pmod(F.xxhash64(address), F.lit(WANTED_BITS)) + 1
+
+
+def wanted_pages(page_snapshot: DataFrame, sites: DataFrame) -> DataFrame:
+    """The pages that a site in `sites` (base) may be read from: its home page and its sub-pages.
+
+    Few sites of a crawl are named by a title, and reading a page costs far more than finding it
+    unwanted. The wanted addresses are hashed to a bitmap of fixed size, so bodies are neither
+    read nor shuffled for it. Two addresses may share a bit: some unwanted pages stay, and fall
+    out when sites are joined by address; no wanted one is lost.
+    """
+    slot = F.col("slot")
+    blocks = (
+        sites.where(F.col("base").isNotNull())
+        .select(_slot(F.col("base")).alias("slot"))
+        .groupBy(F.bitmap_bucket_number(slot).alias("block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bits"))
+    )
+    wanted = blocks.agg(F.map_from_entries(F.collect_list(F.struct("block", "bits"))).alias("_blocks"))
+
+    def marked(address: Column) -> Column:
+        position = F.bitmap_bit_position(_slot(address))
+        bits = F.try_element_at(F.col("_blocks"), F.bitmap_bucket_number(_slot(address)))
+        byte = F.conv(F.hex(F.substring(bits, (position / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+        bit = F.getbit(byte, (position % 8).cast("int"))
+        return address.isNotNull() & F.coalesce(bit == 1, F.lit(False))
+
+    url = F.col("url")
+    roles = [strip_slashes(url), _ending(url, ABOUT_PATHS)[1], _ending(url, FEED_PATHS)[1]]
+    condition = marked(roles[0]) | marked(roles[1]) | marked(roles[2])
+    return page_snapshot.join(F.broadcast(wanted), condition, "left_semi")
+
+
 def site_signals(page_snapshot: DataFrame) -> DataFrame:
     """base, site_url, signals, about_text, rss_categories: each live page taken as a home page.
 
@@ -160,7 +198,8 @@ def with_context(
     """Add `context`: the text a model reads about each discovered name.
 
     Sites are looked up by address without slashes at its end, in `stored_signals` if there are
-    any, else in the pages.
+    any, else in those pages that a name leads to. The names are then read twice and
+    materialised for it.
     """
     url, source = F.col("url"), F.col("source")
     wants_site = nz(url).isNotNull() & ~F.startswith(source, F.lit("wikipedia"))
@@ -179,8 +218,12 @@ def with_context(
     else:
         # Many names may share one address: the names are the probe side, which adaptive
         # execution splits; names without a site carry keys that spread evenly.
-        key = spread_nulls(F.when(wants_site, strip_slashes(url)), F.col("name"))
-        known = stored_signals if stored_signals is not None else site_signals(page_snapshot)
+        address = F.when(wants_site, strip_slashes(url))
+        key = spread_nulls(address, F.col("name"))
+        known = stored_signals
+        if known is None:
+            discovered = durable(discovered)
+            known = site_signals(wanted_pages(page_snapshot, discovered.select(address.alias("base"))))
         sites = known.select(F.col("base").alias("_base"), "signals", "about_text", "rss_categories")
         rows = lookup(discovered, sites, [(key, "_base")])
     site = site_context(
