@@ -1,6 +1,8 @@
 """Source divergence against its DuckDB twin, and the accumulator against plain sums."""
 
 import random
+import re
+from collections import Counter
 
 import duckdb
 import numpy as np
@@ -44,6 +46,23 @@ def test_matches_sql(spark):
     assert all(r["rank"] <= divergence.TOP_TERMS for r in got if r["part"] == "term")
 
 
+def test_terms_are_summed_in_the_task(spark, monkeypatch):
+    rows = fixture()
+    docs = spark.createDataFrame(rows, SCHEMA).selectExpr("coalesce(lang, '') lang", "coalesce(source, '') source", "coalesce(text, '') text").coalesce(1)
+    want = {}
+    for i, r in enumerate(rows):
+        found = re.findall(divergence.TERM, r[1] or "")
+        for t in ("".join(c.lower() if c.isascii() else c for c in w) for w in found):
+            c, d = want.setdefault((r[2] or "", r[3] or "", t), (Counter(), set()))
+            c[t] += 1
+            d.add(i)
+    got = divergence.term_counts(docs).collect()
+    assert len(got) == len(want)  # one row per group and term of a task, not one per text and term
+    assert {(r["lang"], r["source"], r["term"]): (r["c"], r["d"]) for r in got} == {k: (c[k[2]], len(d)) for k, (c, d) in want.items()}
+    monkeypatch.setattr(divergence, "COUNTED", 5)  # emitted often, the sums stay whole
+    assert sorted(tuple(r) for r in divergence.audit(spark.createDataFrame(rows, SCHEMA)).collect()) == oracle(rows)
+
+
 def test_empty_table(spark):
     assert divergence.audit(spark.createDataFrame([], SCHEMA)).count() == 0
 
