@@ -87,6 +87,17 @@ def test_matches_brute_force(spark):
         assert g["held_out"] == (g["doc_id"] is not None and zlib.crc32(str(g["doc_id"]).encode()) % 4 == 2)
 
 
+@pytest.mark.parametrize("entries", [0, 12])
+def test_rare_entries_are_met_by_joins(spark, monkeypatch, entries):
+    rows = [r for r in corpus() if r[0] is not None]
+    monkeypatch.setattr(langid, "HOT_ENTRIES", entries)  # nothing, or a few words and grams, broadcast
+    monkeypatch.setattr(langid, "SLICE_WORDS", 7)
+    want = brute(rows)
+    for g in langid.predict(spark.createDataFrame(rows, SCHEMA)).collect():
+        lang, score = want[(g["doc_id"], next(r[1] for r in rows if r[0] == g["doc_id"]))]
+        assert g["lang_pred"] == lang and g["score"] == pytest.approx(score, rel=1e-6, abs=1e-9), g
+
+
 def test_edge_rows(spark):
     got = langid.predict(spark.createDataFrame(corpus(), SCHEMA)).collect()
     pred = {}
