@@ -402,3 +402,27 @@ def test_pipeline_stages(spark, tmp_path):
     assert ids[0] == {r[0] for r in rows} - {201} and ids[1] == ids[0] - {200} and ids[2] == ids[1]
     assert next(r for r in kept[2] if r["doc_id"] == 202)["text"].startswith("[SECRET]")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == len(kept[3])
+
+
+def text_exchanges(df):
+    """Shuffles of the plan that carry texts, as a column or inside a first row."""
+    todo, found = [df._jdf.queryExecution().executedPlan().initialPlan()], 0
+    while todo:
+        node = todo.pop()
+        found += node.nodeName() == "Exchange" and bool(re.search(r"\b(text|first|_row)#", node.output().toString()))
+        below = node.children()
+        todo += [below.apply(i) for i in range(below.size())]
+    return found
+
+
+def test_texts_are_shuffled_once(spark):
+    rows = [(1, "a b c d e f", "s"), (1, "a b c d e f", "t"), (None, "g h i j k l", "s"), (None, "g h i j k l", None), (2, None, "s")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        mixed, first = mixing.mix(docs), neardup.representatives(docs)
+        assert text_exchanges(mixed) == 1
+        assert text_exchanges(first) == 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sorted(r["text"] or "" for r in first.collect()) == ["", "a b c d e f", "g h i j k l"]

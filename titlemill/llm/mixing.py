@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from titlemill.llm.common import WORD, partitions, stored, whole_text
+from titlemill.llm.common import WORD, partitions, stored, text_key, whole_text
 from titlemill.operators.numbering import with_index
 
 #: A document is used this often at most, so a source's target stops at as many times its size.
@@ -100,12 +100,13 @@ def copies(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), seed: int = 7,
 def mix(docs: DataFrame, weights: tuple[int, ...] = (5, 2, 1), seed: int = 7) -> DataFrame:
     """The rows of `docs` as often as `copies` says, all columns as they are."""
     counts = copies(docs, weights, seed)
-    per_key = counts.groupBy(F.col("doc_id").alias("_doc"), F.col("_hash").alias("_text")).agg(
+    per_key = counts.groupBy(F.struct("doc_id", "_hash").alias("_of")).agg(
         F.sum("copies").alias("_copies"), F.count("*").alias("_rows")
     )
-    keyed = docs.withColumn("_key", F.xxhash64(whole_text()))
-    joined = keyed.join(per_key, keyed["doc_id"].eqNullSafe(per_key["_doc"]) & (keyed["_key"] == per_key["_text"]))
-    number = F.row_number().over(Window.partitionBy("_doc", "_text").orderBy("source"))
+    # One key column for the join and the window, so that texts are shuffled once.
+    keyed = docs.withColumn("_at", text_key(docs))
+    joined = keyed.join(per_key, keyed["_at"] == per_key["_of"])
+    number = F.row_number().over(Window.partitionBy("_at").orderBy("source"))
     times = F.floor(F.col("_copies") / F.col("_rows")) + (number <= F.col("_copies") % F.col("_rows")).cast("int")
     return (
         joined.withColumn("_times", times.cast("int"))

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from titlemill.llm.common import blocks, partitions, stored, whole_text
+from titlemill.llm.common import blocks, partitions, stored, text_key, whole_text
 from titlemill.llm.components import least_members
 from titlemill.operators.lookup import lookup
 
@@ -126,10 +126,11 @@ def block_pairs(rows: DataFrame, key: str, blocks_of, by: str) -> DataFrame:
 
 def leaves(reps: DataFrame) -> DataFrame:
     """node, sid, sketch: all nodes to be compared exhaustively."""
-    rows = reps.select("sid", "sketch", F.posexplode("firsts").alias("tree", "first")).select(
-        F.xxhash64("tree", "first").alias("node"), "sid", "sketch"
-    )
-    done, large = _shared(rows)
+    rows = reps.select("sid", F.posexplode("firsts").alias("tree", "first")).select(F.xxhash64("tree", "first").alias("node"), "sid")
+    # sketches join only the sets that share a first branch
+    own = reps.select(F.col("sid").alias("_sid"), "sketch")
+    done, large = [lookup(part, own, [(part["sid"], "_sid")], "inner").drop("_sid") for part in _shared(rows)]
+    done, large = done.select("node", "sid", "sketch"), large.select("node", "sid", "sketch", "n")
     for _ in range(DEPTH):
         if large.isEmpty():
             return done
@@ -320,9 +321,9 @@ def representatives(docs: DataFrame) -> DataFrame:
     first = found.groupBy("_root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")).alias("first")
     )
-    kept = first.select(F.col("first.doc_id").alias("_doc"), F.col("first._hash").alias("_of")).distinct()
-    tagged = docs.withColumn("_hash", F.xxhash64(whole_text()))
-    rows = tagged.join(kept, tagged["doc_id"].eqNullSafe(kept["_doc"]) & (tagged["_hash"] == kept["_of"]), "left_semi")
-    # partial aggregation first: many equal rows arrive as one per task
-    one = rows.groupBy("doc_id", "_hash").agg(F.first(F.struct(*docs.columns)).alias("_row"))
-    return one.select("_row.*")
+    kept = first.select(F.struct(F.col("first.doc_id"), F.col("first._hash")).alias("_of")).distinct()
+    tagged = docs.withColumn("_at", text_key(docs))
+    # Partial aggregation first: many equal rows arrive as one per task. The join then has the same
+    # key column, so texts are shuffled once.
+    one = tagged.groupBy("_at").agg(F.first(F.struct(*docs.columns)).alias("_row"))
+    return one.join(kept, one["_at"] == kept["_of"]).select("_row.*")
