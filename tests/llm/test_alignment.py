@@ -92,3 +92,34 @@ def test_groups_are_the_common_ends(a, b):
     common = sorted(set(ends_a.tolist()) & set(ends_b.tolist()))
     want = [(int(np.searchsorted(ends_a, e)), int(np.searchsorted(ends_b, e))) for e in common]
     assert alignment.groups(ends_a.tolist(), ends_b.tolist()) == want
+
+
+def odd_texts():
+    draw = random.Random(9)
+    words = ["the", "bytes,", "über", "日本語", "", " ", "\n", "\t", "x\n", "\ny", " ", "z　", "\x1c", "▁", "a▁b", "<s>", "<|endoftext|>", "1", "'s", "́"]
+    return ["", " ", "  ", "\n", " x", "x ", "x\n", *(" ".join(draw.choices(words, k=draw.randint(1, 9))) for _ in range(400)),
+            *(" ".join(f"w{draw.randint(0, 400)}" for _ in range(60)) for _ in range(40))]
+
+
+def test_parts_give_what_whole_texts_give(monkeypatch):
+    texts = odd_texts()
+    for most in (400_000, 50):  # 50: parts are dropped and met again
+        monkeypatch.setattr(alignment, "REMEMBERED", most)
+        aligner = alignment.Aligner(A, B)
+        assert aligner.by_part
+        for begin in range(0, len(texts), 20):
+            some = texts[begin:begin + 20]
+            sizes, sums, rows, keys = aligner(some)
+            for row, text in enumerate(some):
+                size, own, links = aligner._whole(text)
+                assert (tuple(sizes[row]), sums[row], sorted(keys[rows == row])) == (size, own, sorted(links)), repr(text)
+
+
+def test_a_word_is_encoded_once_per_task(monkeypatch):
+    aligner, seen = alignment.Aligner(A, B), []
+    align_text = alignment.align_text
+    monkeypatch.setattr(alignment, "align_text", lambda text, tables: seen.append(text) or align_text(text, tables))
+    for _ in range(3):
+        sizes, *_ = aligner(["the bytes of the text " * 50 + "end"] * 4)
+        assert (sizes[:, 0] > 200).all()
+    assert sum(map(len, seen)) < 40
