@@ -15,6 +15,7 @@ import corpus_pipeline
 from titlemill.llm import (
     fingerprints, mixing, neardup, pieces, ruleensemble, rules, runindex, secrets, spans, tokens,
 )
+from titlemill.operators import bits
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -426,3 +427,37 @@ def test_texts_are_shuffled_once(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert sorted(r["text"] or "" for r in first.collect()) == ["", "a b c d e f", "g h i j k l"]
+
+
+def test_masking_shuffles_no_text(spark, docs):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = secrets.redact(docs)._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and "Join" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_only_texts_of_groups_are_shuffled(spark, monkeypatch):
+    base = prose(60, 120)
+    rows = [(i, prose(100 + i, 50)) for i in range(50)] + [(60, base), (60, base), (None, base + " more"), (61, None), (62, ""), (62, "")]
+    near = []
+
+    def split(*args):
+        parts = bits.split_by_keys(*args)
+        near.append(sorted(r["text"] or "" for r in parts[0].collect()))
+        return parts
+
+    monkeypatch.setattr(neardup, "split_by_keys", split)
+    got = neardup.representatives(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(r["text"] for r in got) == Counter([*(t for _, t in rows[:50]), base, None, ""])
+    assert near == [[base, base, base + " more"], ["", "", base, base, base + " more"]]
+
+
+def test_split_by_keys(spark):
+    rows = spark.createDataFrame([(i % 7 or None, i) for i in range(70)] + [(None, None)], "a long, b long")
+    keys = spark.createDataFrame([(None, 7), (1, 1), (3, 10), (None, None), (1, 1)], "a long, b long")
+    for wanted, count in ((keys, 4), (keys.limit(0), 0)):
+        near, far = bits.split_by_keys(rows, ["a", "b"], wanted)
+        assert near.count() == count and far.count() == 71 - count
+        assert near.join(wanted, near["a"].eqNullSafe(wanted["a"]) & near["b"].eqNullSafe(wanted["b"]), "left_semi").count() == count

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from titlemill.llm.common import blocks, partitions, stored, text_key, whole_text
 from titlemill.llm.components import least_members
+from titlemill.operators.bits import split_by_keys
 from titlemill.operators.lookup import lookup
 
 #: Independent trees. A pair of similarity s shares the first branch of a tree with chance s.
@@ -297,7 +298,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, n
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """sid, tokens of the rows named in `wanted` (sid, of: doc_id and text hash)."""
+    """sid, tokens of the rows named in `wanted` (sid, of: doc_id and text hash).
+
+    Only texts that a bitmap of the wanted keys lets through are shuffled for the join.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingle = Shingler(width)
@@ -306,8 +310,9 @@ def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             yield pa.record_batch([batch.column(0), pa.array(tokens, pa.binary())], names=["sid", "tokens"])
 
     keyed = docs.select(F.col("doc_id"), whole_text().alias("text")).withColumn("_hash", F.xxhash64("text"))
-    on = keyed["doc_id"].eqNullSafe(F.col("of.doc_id")) & (keyed["_hash"] == F.col("of._hash"))
-    return keyed.join(wanted, on).select("sid", "text").mapInArrow(run, "sid binary, tokens binary")
+    near, _ = split_by_keys(keyed, ["doc_id", "_hash"], wanted.select("of.doc_id", "of._hash"))
+    on = near["doc_id"].eqNullSafe(F.col("of.doc_id")) & (near["_hash"] == F.col("of._hash"))
+    return near.join(wanted, on).select("sid", "text").mapInArrow(run, "sid binary, tokens binary")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
@@ -316,14 +321,22 @@ def representatives(docs: DataFrame) -> DataFrame:
     The first is the least by doc_id, a null one last, and text hash; of rows equal in both any one.
     A row without words is a component of its own, as near_duplicates has it, unless equal to
     another in id and text.
+
+    Rows equal in id and text lie in one component, so the row of a component of one is kept as it
+    is read; only texts that may be of larger components are shuffled.
     """
-    found = near_duplicates(docs, width=5, similarity=0.8, named=True)
+    found = stored(
+        near_duplicates(docs, width=5, similarity=0.8, named=True).select("doc_id", "_hash", "_root"), "roots"
+    )
+    many = found.groupBy("_root").count().where(F.col("count") > 1).select(F.col("_root").alias("_of"))
+    shared = found.join(many, found["_root"] == many["_of"]).select("doc_id", "_hash")
+    near, alone = split_by_keys(docs.withColumn("_hash", F.xxhash64(whole_text())), ["doc_id", "_hash"], shared)
     first = found.groupBy("_root").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_hash")).alias("first")
     )
     kept = first.select(F.struct(F.col("first.doc_id"), F.col("first._hash")).alias("_of")).distinct()
-    tagged = docs.withColumn("_at", text_key(docs))
+    tagged = near.withColumn("_at", text_key(docs))
     # Partial aggregation first: many equal rows arrive as one per task. The join then has the same
     # key column, so texts are shuffled once.
     one = tagged.groupBy("_at").agg(F.first(F.struct(*docs.columns)).alias("_row"))
-    return one.join(kept, one["_at"] == kept["_of"]).select("_row.*")
+    return one.join(kept, one["_at"] == kept["_of"]).select("_row.*").union(alone.select(*docs.columns))

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from titlemill.llm.common import blocks, stored, whole_text
 
@@ -147,8 +148,11 @@ SCHEMA = (
 )
 
 
-def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, text hash, base spans and tested strings of every row; texts are read once."""
+def scan(docs: DataFrame, carried: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, text hash, base spans and tested strings of every row; texts are read once.
+
+    `carried` columns of `docs` come along in a struct _row.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.schema(
@@ -165,9 +169,9 @@ def scan(docs: DataFrame) -> DataFrame:
                 ),
             ]
         )
-        for batch in blocks(batches, "text"):
+        for batch in blocks(batches, "_text"):
             base, found = [], []
-            for text in batch.column(2).to_pylist():
+            for text in batch.column(batch.num_columns - 1).to_pylist():
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e, _ in base_spans(text)])
                 tested = []
                 for match in CANDIDATE.finditer(text):
@@ -180,13 +184,13 @@ def scan(docs: DataFrame) -> DataFrame:
                         })
                 found.append(tested)
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(base, kinds[0].type), pa.array(found, kinds[1].type)],
-                names=["doc_id", "_hash", "base", "found"],
+                [*batch.columns[:-1], pa.array(base, kinds[0].type), pa.array(found, kinds[1].type)],
+                names=[*batch.schema.names[:-1], "base", "found"],
             )
 
-    id_type = docs.schema["doc_id"].dataType.simpleString()
-    narrow = docs.select("doc_id", F.xxhash64(whole_text()).alias("_hash"), whole_text().alias("text"))
-    return narrow.mapInArrow(run, f"doc_id {id_type}, _hash long, {SCHEMA}")
+    row = [F.struct(*carried).alias("_row")] if carried else []
+    own = docs.select("doc_id", F.xxhash64(whole_text()).alias("_hash"), *row, whole_text().alias("_text"))
+    return own.mapInArrow(run, StructType([*own.schema.fields[:-1], *StructType.fromDDL(SCHEMA).fields]))
 
 
 def discovery_bins(scanned: DataFrame, level: float) -> dict[tuple[str, int], int]:
@@ -217,8 +221,9 @@ def discovery_bins(scanned: DataFrame, level: float) -> dict[tuple[str, int], in
     return cut
 
 
-def secrets(docs: DataFrame, level: float = 0.05) -> DataFrame:
-    """`docs` (doc_id, text, more) -> doc_id, _hash, base and added spans of every row.
+def secrets(docs: DataFrame, level: float = 0.05, carried: tuple[str, ...] = ()) -> DataFrame:
+    """`docs` (doc_id, text, more) -> doc_id, _hash, base and added spans of every row; `carried`
+    columns come along in a struct _row.
 
     base: array of (kind, start, end) of the patterns, kinds numbered as in KINDS; found: strings
     whose randomness no test of the battery rejects, by start, where no base span covers them. The
@@ -228,7 +233,7 @@ def secrets(docs: DataFrame, level: float = 0.05) -> DataFrame:
     A null or empty text has no spans; a null doc_id stays null; each repeated row gives a row and
     counts in the corpus statistics; other columns are ignored; no row gives no row.
     """
-    scanned = stored(scan(docs), "scanned")
+    scanned = stored(scan(docs, carried), "scanned")
     cut = discovery_bins(scanned, level)
     tables = {}
     for (encoding, band), b in cut.items():
@@ -259,18 +264,13 @@ def joined_spans(base, found=None):
 def redact(docs: DataFrame, level: float = 0.05, mask: str = "[SECRET]") -> DataFrame:
     """`docs` with every span of `secrets` replaced by `mask`, overlapping ones by one.
 
-    Rows and columns stay as they are; n_chars, if there is one, follows the new text. The texts
-    are joined to narrow rows by id and text hash; a text without spans is not changed.
+    Rows and columns stay as they are; n_chars, if there is one, follows the new text. Rows come
+    along with their spans through the scan, so no text is shuffled; one without spans stays.
     """
-    found = secrets(docs, level).select(
-        F.col("doc_id").alias("_doc"), F.col("_hash").alias("_of"),
-        F.sort_array(F.concat(
-            F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))),
-            F.transform("found", lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"))),
-        )).alias("_spans"),
-    ).where(F.size("_spans") > 0).dropDuplicates(["_doc", "_of"])
-    keyed = docs.withColumn("_hash", F.xxhash64(whole_text()))
-    joined = keyed.join(found, keyed["doc_id"].eqNullSafe(found["_doc"]) & (keyed["_hash"] == found["_of"]), "left")
+    joined = secrets(docs, level, tuple(docs.columns)).select("_row.*", F.sort_array(F.concat(
+        F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))),
+        F.transform("found", lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end"))),
+    )).alias("_spans"))
     tail = F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
     cut = F.aggregate(
         "_spans", tail,
@@ -280,8 +280,8 @@ def redact(docs: DataFrame, level: float = 0.05, mask: str = "[SECRET]") -> Data
         )).otherwise(F.struct(acc["done"].alias("done"), F.greatest(acc["at"], s["end"]).alias("at"))),
     )
     whole = F.concat(cut["done"], F.substring("text", cut["at"] + 1, F.length("text")))
-    changed = joined.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(whole))
+    changed = joined.withColumn("text", F.when(F.size("_spans") == 0, F.col("text")).otherwise(whole))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        changed = changed.withColumn("n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        changed = changed.withColumn("n_chars", F.when(F.size("_spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast(kind)))
     return changed.select(*docs.columns)
