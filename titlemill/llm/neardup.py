@@ -29,41 +29,99 @@ LEAF = 4096
 LEAF_BYTES = 48 << 20
 #: Standard deviations by which an estimate may fall short of the similarity asked for.
 MARGIN = 5.0
-#: Distinct words whose hashes a task remembers before it starts anew.
-REMEMBERED = 400_000
+#: Bytes of texts that are shingled at once, so that their hashes stay in a core's cache.
+SHINGLED = 1 << 18
+#: Longer words are hashed one by one.
+LONG_WORD = 64
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+#: Masks of the first 0 to 8 bytes.
+_LOW = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 
 def _scramble(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Shingler:
-    """Sorted 64-bit hashes of a text's distinct shingles of `width` words."""
-
-    def __init__(self, width: int):
-        self.width = width
-        self.known: dict[bytes, int] = {}
-
-    def __call__(self, text: str) -> np.ndarray:
-        # bytes lower and split by ASCII letters and blanks only
-        found = text.encode().lower().split()
-        if not found:
-            return np.empty(0, dtype=np.uint64)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        for word in set(found).difference(known):
-            known[word] = xxhash.xxh3_64_intdigest(word)
-        hashes = np.fromiter(map(known.__getitem__, found), dtype=np.uint64, count=len(found))
-        width = min(self.width, len(found))
-        mixed = np.full(len(found) - width + 1, np.uint64(width))
-        for k in range(width):
-            mixed = _scramble(mixed * _MIX + hashes[k : len(found) - width + 1 + k])
-        return np.unique(mixed)
+    """Mixes 64-bit values, in place."""
+    for shift, factor in ((31, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= x >> np.uint64(shift)
+        x *= np.uint64(factor)
+    x ^= x >> np.uint64(31)
+    return x
+
+
+def word_hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts, one after the other, and each text's count of words.
+
+    Letters A-Z are lower-cased and words parted by ASCII blanks only. A word is mixed by eight
+    bytes and its length at a time, so the whole block takes a few passes over its bytes.
+    """
+    large = pa.types.is_large_string(texts.type) or pa.types.is_large_binary(texts.type)
+    _, offsets, content = texts.buffers()
+    ends = np.frombuffer(offsets, np.int64 if large else np.int32)[texts.offset :][: len(texts) + 1].astype(np.int64)
+    held = np.frombuffer(content or b"", np.uint8)[ends[0] : ends[-1]]
+    ends -= ends[0]
+    # zeros at the end, so that eight bytes can be read from any place
+    data = np.zeros(len(held) + 8, dtype=np.uint8)
+    data[: len(held)] = held + (((held - np.uint8(65)) < 26).view(np.uint8) << np.uint8(5))
+    filled = (held != 32) & ((held - np.uint8(9)) > 4)
+    first, last = filled.copy(), filled.copy()
+    first[1:] &= ~filled[:-1]
+    last[:-1] &= ~filled[1:]
+    # a word ends with its text
+    cuts = ends[:-1][ends[:-1] < ends[1:]]
+    first[cuts] = filled[cuts]
+    last[cuts[1:] - 1] = filled[cuts[1:] - 1]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    eight = np.ndarray(len(held) + 1, dtype="<u8", buffer=data, strides=(1,))
+    hashes = sizes.astype(np.uint64) * _MIX
+    hashes += eight[starts] & _LOW[np.minimum(sizes, 8)]
+    _scramble(hashes)
+    at, done = np.flatnonzero(sizes > 8), 8
+    while len(at) and done < LONG_WORD:
+        more = eight[starts[at] + done] & _LOW[np.minimum(sizes[at] - done, 8)]
+        hashes[at] = _scramble(hashes[at] * _MIX + more)
+        done += 8
+        at = at[sizes[at] > done]
+    for i in at.tolist():
+        hashes[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + sizes[i]])
+    return hashes, np.diff(np.searchsorted(starts, ends))
+
+
+def shingles(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted 64-bit hashes of each text's distinct shingles of `width` words, one text after the
+    other, and each text's count of them. Fewer words than `width` are one shingle."""
+    hashes, words = word_hashes(texts)
+    ends = np.cumsum(words)
+    sizes = np.where(words > 0, np.maximum(words - width + 1, 1), 0)
+    starts = np.cumsum(sizes) - sizes
+    tokens, short = np.empty(int(sizes.sum()), dtype=np.uint64), np.zeros(int(sizes.sum()), dtype=bool)
+    for count in range(1, min(width, int(words.max(initial=0)) + 1)):
+        rows = np.flatnonzero(words == count)
+        short[starts[rows]] = True
+        tokens[starts[rows]] = _mixed([hashes[ends[rows] - count + k] for k in range(count)])
+    run = max(len(hashes) - width + 1, 0)
+    whole = np.ones(len(hashes), dtype=bool)
+    for k in range(1, width):
+        whole[ends[words >= k] - k] = False
+    tokens[~short] = _mixed([hashes[k : k + run] for k in range(width)])[whole[:run]]
+    for begin, end in zip(starts[sizes > 1].tolist(), (starts + sizes)[sizes > 1].tolist(), strict=True):
+        tokens[begin:end].sort()
+    new = np.ones(len(tokens), dtype=bool)
+    np.not_equal(tokens[1:], tokens[:-1], out=new[1:])
+    new[starts[sizes > 0]] = True
+    distinct = np.zeros(len(sizes), dtype=np.int64)
+    if len(tokens):
+        distinct[sizes > 0] = np.add.reduceat(new, starts[sizes > 0], dtype=np.int64)
+    return tokens[new], distinct
+
+
+def _mixed(parts: list[np.ndarray]) -> np.ndarray:
+    mixed = np.full(len(parts[0]), np.uint64(len(parts)))
+    for part in parts:
+        mixed *= _MIX
+        mixed += part
+        _scramble(mixed)
+    return mixed
 
 
 def _multipliers() -> tuple[np.ndarray, np.ndarray]:
@@ -72,29 +130,48 @@ def _multipliers() -> tuple[np.ndarray, np.ndarray]:
     return odd, draw.integers(0, 1 << 63, SLOTS, dtype=np.uint64)
 
 
-def _minima(tokens: np.ndarray) -> np.ndarray:
+def _minima(tokens: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Per set and slot the least value; `sizes` of the sets that follow each other, none empty."""
     # tokens are mixed hashes, so a product and a sum order them afresh for each slot
-    odd, add = _multipliers()
-    return np.array([(tokens * a + b).min() for a, b in zip(odd, add, strict=True)])
+    least, moved = np.empty((len(sizes), SLOTS), dtype=np.uint64), np.empty_like(tokens)
+    starts = np.cumsum(sizes) - sizes
+    for k, (a, b) in enumerate(zip(*_multipliers(), strict=True)):
+        np.multiply(tokens, a, out=moved)
+        moved += b
+        least[:, k] = np.minimum.reduceat(moved, starts)
+    return least
+
+
+def _cut(values: np.ndarray, counts: np.ndarray) -> pa.Array:
+    """Binary values that hold the next of `counts` values each."""
+    ends = np.concatenate([[0], np.cumsum(counts * values.itemsize)])
+    if ends[-1] >= 1 << 31:
+        raise ValueError("the shingles of a text do not fit into 2 GB")
+    return pa.Array.from_buffers(
+        pa.binary(), len(counts), [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    )
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """doc_id, _hash, n_shingles, set id, first branches (64 bits each) and sketch of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
-        for batch in blocks(batches, "text"):
-            sizes, ids, firsts, short = [], [], [], []
-            for text in batch.column(2).to_pylist():
-                tokens = shingle(text)
-                sizes.append(len(tokens))
-                ids.append(hashlib.blake2b(tokens.tobytes(), digest_size=16).digest() if len(tokens) else None)
-                least = _minima(tokens) if len(tokens) else np.empty(0, dtype=np.uint64)
-                firsts.append(least[:TREES].view(np.int64).tolist())
-                short.append((least & np.uint64(0xFFFF)).astype("<u2").tobytes())
+        for batch in blocks(batches, "text", SHINGLED):
+            tokens, sizes = shingles(batch.column(2), width)
+            filled = sizes > 0
+            least = _minima(tokens, sizes[filled]) if filled.any() else np.empty((0, SLOTS), dtype=np.uint64)
+            content, ends = memoryview(tokens).cast("B"), (np.cumsum(sizes) * 8).tolist()
+            ids = [
+                hashlib.blake2b(content[end - 8 * size : end], digest_size=16).digest() if size else None
+                for end, size in zip(ends, sizes.tolist(), strict=True)
+            ]
+            firsts = pa.ListArray.from_arrays(
+                np.concatenate([[0], np.cumsum(filled * TREES)]).astype(np.int32),
+                pa.array(least[:, :TREES].ravel().view(np.int64)),
+            )
+            short = _cut((least & np.uint64(0xFFFF)).astype("<u2").ravel(), filled * SLOTS)
             yield pa.record_batch(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()),
-                 pa.array(firsts, pa.list_(pa.int64())), pa.array(short, pa.binary())],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), firsts, short],
                 names=["doc_id", "_hash", "n_shingles", "sid", "firsts", "sketch"],
             )
 
@@ -152,71 +229,123 @@ def _groups(keys: np.ndarray) -> Iterator[tuple[int, int]]:
             yield begin, end
 
 
-def _spread(count: int, near) -> Iterator[tuple[int, int]]:
-    """Links of a spanning forest over 0..count-1: near(i, others) says which others are close.
+def _roots(count: int, near) -> np.ndarray:
+    """The least member of the group of each of 0..count-1: near(i, others) says which others are close.
 
     Every reached item is compared with all that are not yet reached, so no link between two
-    trees of the forest exists.
+    groups exists.
     """
-    left = np.arange(count)
+    left, root = np.arange(count), np.arange(count)
     while len(left):
         queue, left = [left[0]], left[1:]
         while queue and len(left):
             at = queue.pop()
             close = near(at, left)
-            for other in left[close]:
-                yield at, other
-            queue.extend(left[close])
-            left = left[~close]
+            if close.any():
+                reached, left = left[close], left[~close]
+                root[reached] = root[at]
+                queue.extend(reached)
+    return root
+
+
+def _stars(sids: np.ndarray, groups: list[tuple[int, np.ndarray]]) -> pd.DataFrame:
+    """a, b: members that have a root other than themselves, and that; `groups` are first rows and roots."""
+    moved = [(begin + np.flatnonzero(root != np.arange(len(root))), begin, root) for begin, root in groups]
+    left = np.concatenate([np.empty(0, dtype=np.int64), *[at for at, _, _ in moved]])
+    right = np.concatenate([np.empty(0, dtype=np.int64), *[begin + root[at - begin] for at, begin, root in moved]])
+    return pd.DataFrame({"a": sids[left], "b": sids[right]})
+
+
+def _by_bucket(rows: DataFrame, key: str, seed: int, run) -> DataFrame:
+    """a, b: what `run` finds in the rows of some values of `key` at a time."""
+    parts = partitions(rows.sparkSession)
+    bucket = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(parts * 4))
+    # dealt by number, as adaptive execution would merge small buckets that take long
+    bucketed = rows.withColumn("_bucket", bucket).repartition(parts, "_bucket")
+    return bucketed.groupBy("_bucket").applyInPandas(lambda f: run(f), "a binary, b binary")
 
 
 def clusters(rows: DataFrame, similarity: float) -> DataFrame:
-    """cluster, sid: per node, sets joined by estimates that are not below the margin; each once."""
+    """a, b: sets that estimates not below the margin join in some node, each with the least one."""
     spread = MARGIN * (similarity * (1 - similarity) / SLOTS) ** 0.5
     enough = max(1, int(SLOTS * (similarity - spread)))
-    parts = partitions(rows.sparkSession) * 4
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["node", "sid"], ignore_index=True)
         sketch = np.frombuffer(b"".join(frame["sketch"]), dtype="<u2").reshape(-1, SLOTS)
-        sids, names, members = frame["sid"].to_numpy(), [], []
+        found = []
         for begin, end in _groups(frame["node"].to_numpy()):
             own = sketch[begin:end]
-            parent = np.arange(end - begin)
-            for at, other in _spread(end - begin, lambda i, rest: (own[rest] == own[i]).sum(axis=1) >= enough):  # noqa: B023
-                parent[other] = parent[at]
-            order = np.argsort(parent, kind="stable")
-            for i, j in _groups(parent[order]):
-                group = sids[begin + np.sort(order[i:j])].tolist()
-                names += [xxhash.xxh3_64_intdigest(b"".join(group)) - (1 << 63)] * len(group)
-                members += group
-        return pd.DataFrame({"cluster": np.array(names, dtype=np.int64), "sid": members})
 
-    bucketed = rows.withColumn("_bucket", F.pmod(F.xxhash64("node", F.lit(5)), F.lit(parts)))
-    found = bucketed.groupBy("_bucket").applyInPandas(lambda f: run(f[["node", "sid", "sketch"]]), "cluster long, sid binary")
-    return found.distinct()
+            def near(at: int, rest: np.ndarray) -> np.ndarray:
+                others = own[rest[0] : rest[-1] + 1] if rest[-1] - rest[0] + 1 == len(rest) else own[rest]  # noqa: B023
+                # a bit per slot
+                return np.bitwise_count(np.packbits((others == own[at]).ravel()).view(np.uint64)) >= enough  # noqa: B023
+
+            found.append((begin, _roots(end - begin, near)))
+        return _stars(frame["sid"].to_numpy(), found)
+
+    return _by_bucket(rows, "node", 5, run)
+
+
+class Overlaps:
+    """Sizes of the intersections of sets of sorted tokens that follow each other.
+
+    Tokens of at least one set in 64 are bits of a row per set; the rarer ones that several sets
+    have list these. Either takes no more room than the tokens, and no token of one set only counts.
+    """
+
+    def __init__(self, tokens: np.ndarray, sizes: np.ndarray):
+        self.many = len(sizes)
+        row = np.repeat(np.arange(self.many), sizes)
+        _, ids, held = np.unique(tokens, return_inverse=True, return_counts=True)
+        common = held >= max(2, self.many / 64)
+        here = common[ids]
+        place = (np.cumsum(common) - 1)[ids[here]]
+        self.bits = np.zeros((self.many, (np.count_nonzero(common) + 63) // 64), dtype=np.uint64)
+        if len(place):
+            # ids rise within a set, so the bits of one word follow each other
+            at = row[here] * self.bits.shape[1] + (place >> 6)
+            cuts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+            self.bits.ravel()[at[cuts]] = np.bitwise_or.reduceat(np.uint64(1) << (place & 63).astype(np.uint64), cuts)
+        here = ((held > 1) & ~common)[ids]
+        rare, row = ids[here], row[here]
+        order = np.argsort(rare, kind="stable")
+        self.holders, self.begin, self.held = row[order], np.searchsorted(rare[order], rare), held[rare]
+        self.own = np.searchsorted(row, np.arange(self.many + 1))
+
+    def __call__(self, at: int, rest: np.ndarray) -> np.ndarray:
+        both = np.bitwise_count(self.bits[rest] & self.bits[at]).sum(axis=1, dtype=np.int64)
+        own = slice(self.own[at], self.own[at + 1])
+        if own.start < own.stop:
+            held, begin = self.held[own], self.begin[own]
+            places = np.repeat(begin - (np.cumsum(held) - held), held) + np.arange(held.sum())
+            both += np.bincount(self.holders[places], minlength=self.many)[rest]
+        return both
 
 
 def links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """a, b: sets of one cluster whose exact similarity is enough, as spanning forests."""
+    """a, b: sets of one cluster that links of enough exact similarity join, each with the least one."""
     percent = round(similarity * 100)
-    parts = partitions(members.sparkSession) * 4
     named = sets.select(F.col("sid").alias("_sid"), "tokens")
     sized = members.join(
         members.groupBy("cluster").agg(F.sum("n_shingles").alias("all")).withColumnRenamed("cluster", "_of"),
         F.col("cluster") == F.col("_of"),
     )
     count = F.when(F.col("all") * 8 <= LEAF_BYTES, F.lit(1)).otherwise(F.ceil(F.col("all") * 16 / LEAF_BYTES))
-    dealt = block_pairs(sized.select("cluster", "sid", "all"), "cluster", count, "sid").select("cluster", "sid")
+    dealt = block_pairs(
+        sized.select(F.xxhash64("cluster").alias("cluster"), "sid", "all"), "cluster", count, "sid"
+    ).select("cluster", "sid")
     joined = dealt.join(named, dealt["sid"] == named["_sid"]).select("cluster", "sid", "tokens")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         # equal rows give their set more than once
         frame = frame.drop_duplicates(["cluster", "sid"]).sort_values(["cluster", "sid"], ignore_index=True)
-        sids, left, right = frame["sid"].to_numpy(), [], []
+        found = []
         for begin, end in _groups(frame["cluster"].to_numpy()):
-            own = [np.frombuffer(t, dtype=np.uint64) for t in frame["tokens"].iloc[begin:end]]
-            sizes = np.array([len(t) for t in own])
+            own = frame["tokens"].iloc[begin:end]
+            sizes = np.array([len(t) // 8 for t in own])
+            overlap = Overlaps(np.frombuffer(b"".join(own), dtype=np.uint64), sizes)
 
             def near(at: int, rest: np.ndarray) -> np.ndarray:
                 close = np.zeros(len(rest), dtype=bool)
@@ -224,21 +353,14 @@ def links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
                 fit = 100 * np.minimum(sizes[at], sizes[rest]) >= percent * np.maximum(sizes[at], sizes[rest])  # noqa: B023
                 chosen = rest[fit]
                 if len(chosen):
-                    flat = np.concatenate([own[i] for i in chosen])  # noqa: B023
-                    place = np.minimum(np.searchsorted(own[at], flat), sizes[at] - 1)  # noqa: B023
-                    starts = np.cumsum(sizes[chosen]) - sizes[chosen]  # noqa: B023
-                    both = np.add.reduceat((own[at][place] == flat).astype(np.int64), starts)  # noqa: B023
+                    both = overlap(at, chosen)  # noqa: B023
                     close[fit] = 100 * both >= percent * (sizes[at] + sizes[chosen] - both)  # noqa: B023
                 return close
 
-            for at, other in _spread(end - begin, near):
-                left.append(sids[begin + at])
-                right.append(sids[begin + other])
-        return pd.DataFrame({"a": left, "b": right})
+            found.append((begin, _roots(end - begin, near)))
+        return _stars(frame["sid"].to_numpy(), found)
 
-    bucketed = joined.withColumn("_bucket", F.pmod(F.xxhash64("cluster", F.lit(6)), F.lit(parts)))
-    found = bucketed.groupBy("_bucket").applyInPandas(lambda f: run(f[["cluster", "sid", "tokens"]]), "a binary, b binary")
-    return found.distinct()
+    return _by_bucket(joined, "cluster", 6, run)
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, named: bool = False) -> DataFrame:
@@ -253,9 +375,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, n
     Equal sets become one. Each of TREES trees sends a set down the branch of its minwise token;
     nodes above LEAF branch on by BRANCHES more tokens, up to DEPTH times, and what is larger even
     then is compared by pairs of blocks. A pair at the threshold is missed by all trees with chance
-    0.15^10, about 6e-9. Small nodes are compared by sketch, and the clusters that remain, each
-    once however many trees found it, by their full sets. Within a cluster links form a spanning
-    forest, so a group of n copies gives n - 1 links and not n^2.
+    0.15^10, about 6e-9. Small nodes are compared by sketch, and the clusters that remain, joined
+    over all trees, by their full sets. Each member is linked to the least of its group, so a
+    group of n copies gives n - 1 links and not n^2.
 
     A null or empty text, or one of blanks, has no shingles and is linked with nothing; repeated
     rows are linked to each other if they have words; a null doc_id takes part and is never a
@@ -270,12 +392,14 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, n
         ),
         "sets",
     )
-    found = stored(clusters(leaves(reps), similarity), "clusters")
+    # one cluster holds what any trees join, so each set is compared in full in one cluster only
+    joined = least_members(clusters(leaves(reps), similarity), "clusters").withColumnsRenamed({"a": "sid", "b": "cluster"})
+    found = joined.select("cluster", "sid").union(joined.select("cluster", F.col("cluster").alias("sid")).distinct())
     wanted = reps.select(F.col("sid").alias("_sid"), "of", "n_shingles")
     members = stored(
         found.join(wanted, found["sid"] == wanted["_sid"]).select("cluster", "sid", "of", "n_shingles"), "members"
     )
-    sets = stored(token_sets(docs, members.select("sid", "of").distinct(), width), "tokens")
+    sets = stored(token_sets(docs, members.select("sid", "of"), width), "tokens")
     pairs = links(members.select("cluster", "sid", "n_shingles"), sets, similarity)
     moved = least_members(pairs, "links").withColumnsRenamed({"a": "_sid", "b": "root"})
     rooted = reps.select("sid", "least").join(moved, F.col("sid") == F.col("_sid"), "left").select(
@@ -304,10 +428,8 @@ def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingle = Shingler(width)
-        for batch in blocks(batches, "text"):
-            tokens = [shingle(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.record_batch([batch.column(0), pa.array(tokens, pa.binary())], names=["sid", "tokens"])
+        for batch in blocks(batches, "text", SHINGLED):
+            yield pa.record_batch([batch.column(0), _cut(*shingles(batch.column(1), width))], names=["sid", "tokens"])
 
     keyed = docs.select(F.col("doc_id"), whole_text().alias("text")).withColumn("_hash", F.xxhash64("text"))
     near, _ = split_by_keys(keyed, ["doc_id", "_hash"], wanted.select("of.doc_id", "of._hash"))
