@@ -33,9 +33,9 @@ def test_each_set_is_compared_in_one_cluster(spark, monkeypatch):
     rows = list(enumerate(near_copies(1, 60, 120, 8)))
     seen, real = [], neardup.links
 
-    def spy(members, *args):
-        seen.extend(bytes(r["sid"]) for r in members.select("sid").collect())
-        return real(members, *args)
+    def spy(compared, *args):
+        seen.extend(bytes(r["sid"]) for r in compared.select("sid").collect())
+        return real(compared, *args)
 
     monkeypatch.setattr(neardup, "links", spy)
     got = neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()

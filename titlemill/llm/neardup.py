@@ -9,7 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from titlemill.llm.common import blocks, partitions, stored, text_key, whole_text
@@ -189,17 +189,16 @@ def _shared(rows: DataFrame, least: int = 2) -> tuple[DataFrame, DataFrame]:
     return sized.where(F.col("n") <= LEAF).drop("n"), sized.where(F.col("n") > LEAF)
 
 
-def block_pairs(rows: DataFrame, key: str, blocks_of, by: str) -> DataFrame:
-    """Copies of each row so that any two rows of a key meet in one new node.
+def block_nodes(key: str, blocks_of: Column, by: str) -> Column:
+    """New nodes of a row, such that any two rows of a key meet in one of them.
 
     The rows are dealt over `blocks_of` blocks by hash, and every pair of blocks is a node; the
     node of two equal blocks is left out where there are two or more, as others hold its pairs.
     """
-    own = rows.withColumns({"_g": blocks_of, "_own": F.pmod(F.xxhash64(by, F.lit(3)), blocks_of)})
-    other = own.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_g").cast("long") - 1)))
-    kept = other.where((F.col("_g") == 1) | (F.col("_own") != F.col("_other")))
-    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
-    return kept.withColumn(key, F.xxhash64(key, low, high)).drop("_g", "_own", "_other")
+    count = blocks_of.cast("long")
+    own = F.pmod(F.xxhash64(by, F.lit(3)), count)
+    others = F.filter(F.sequence(F.lit(0).cast("long"), count - 1), lambda o: (count == 1) | (o != own))
+    return F.transform(others, lambda o: F.xxhash64(key, F.least(own, o), F.greatest(own, o)))
 
 
 def leaves(reps: DataFrame) -> DataFrame:
@@ -218,7 +217,8 @@ def leaves(reps: DataFrame) -> DataFrame:
         small, large = _shared(branched.select(F.xxhash64("node", "slot", value).alias("node"), "sid", "sketch"))
         done = done.union(small)
     if not large.isEmpty():
-        done = done.union(block_pairs(large, "node", F.ceil(F.col("n") * 2 / LEAF), "sid").select("node", "sid", "sketch"))
+        nodes = F.explode(block_nodes("node", F.ceil(F.col("n") * 2 / LEAF), "sid"))
+        done = done.union(large.select(nodes.alias("node"), "sid", "sketch"))
     return done
 
 
@@ -256,10 +256,10 @@ def _stars(sids: np.ndarray, groups: list[tuple[int, np.ndarray]]) -> pd.DataFra
     return pd.DataFrame({"a": sids[left], "b": sids[right]})
 
 
-def _by_bucket(rows: DataFrame, key: str, seed: int, run) -> DataFrame:
-    """a, b: what `run` finds in the rows of some values of `key` at a time."""
+def _by_bucket(rows: DataFrame, seed: int, run) -> DataFrame:
+    """a, b: what `run` finds in the rows of some nodes at a time."""
     parts = partitions(rows.sparkSession)
-    bucket = F.pmod(F.xxhash64(key, F.lit(seed)), F.lit(parts * 4))
+    bucket = F.pmod(F.xxhash64("node", F.lit(seed)), F.lit(parts * 4))
     # dealt by number, as adaptive execution would merge small buckets that take long
     bucketed = rows.withColumn("_bucket", bucket).repartition(parts, "_bucket")
     return bucketed.groupBy("_bucket").applyInPandas(lambda f: run(f), "a binary, b binary")
@@ -285,7 +285,7 @@ def clusters(rows: DataFrame, similarity: float) -> DataFrame:
             found.append((begin, _roots(end - begin, near)))
         return _stars(frame["sid"].to_numpy(), found)
 
-    return _by_bucket(rows, "node", 5, run)
+    return _by_bucket(rows, 5, run)
 
 
 class Overlaps:
@@ -324,25 +324,27 @@ class Overlaps:
         return both
 
 
-def links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """a, b: sets of one cluster that links of enough exact similarity join, each with the least one."""
-    percent = round(similarity * 100)
-    named = sets.select(F.col("sid").alias("_sid"), "tokens")
+def with_nodes(members: DataFrame) -> DataFrame:
+    """sid, of and the nodes in which a set is compared: one per cluster, or pairs of blocks of a large one."""
     sized = members.join(
         members.groupBy("cluster").agg(F.sum("n_shingles").alias("all")).withColumnRenamed("cluster", "_of"),
         F.col("cluster") == F.col("_of"),
     )
     count = F.when(F.col("all") * 8 <= LEAF_BYTES, F.lit(1)).otherwise(F.ceil(F.col("all") * 16 / LEAF_BYTES))
-    dealt = block_pairs(
-        sized.select(F.xxhash64("cluster").alias("cluster"), "sid", "all"), "cluster", count, "sid"
-    ).select("cluster", "sid")
-    joined = dealt.join(named, dealt["sid"] == named["_sid"]).select("cluster", "sid", "tokens")
+    return sized.select("sid", "of", block_nodes("cluster", count, "sid").alias("nodes"))
+
+
+def links(sets: DataFrame, similarity: float) -> DataFrame:
+    """a, b: `sets` (sid, nodes, tokens) that links of enough exact similarity join within a node,
+    each with the least one of the group."""
+    percent = round(similarity * 100)
+    dealt = sets.select(F.explode("nodes").alias("node"), "sid", "tokens")
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         # equal rows give their set more than once
-        frame = frame.drop_duplicates(["cluster", "sid"]).sort_values(["cluster", "sid"], ignore_index=True)
+        frame = frame.drop_duplicates(["node", "sid"]).sort_values(["node", "sid"], ignore_index=True)
         found = []
-        for begin, end in _groups(frame["cluster"].to_numpy()):
+        for begin, end in _groups(frame["node"].to_numpy()):
             own = frame["tokens"].iloc[begin:end]
             sizes = np.array([len(t) // 8 for t in own])
             overlap = Overlaps(np.frombuffer(b"".join(own), dtype=np.uint64), sizes)
@@ -360,7 +362,7 @@ def links(members: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
             found.append((begin, _roots(end - begin, near)))
         return _stars(frame["sid"].to_numpy(), found)
 
-    return _by_bucket(joined, "cluster", 6, run)
+    return _by_bucket(dealt, 6, run)
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, named: bool = False) -> DataFrame:
@@ -399,9 +401,8 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, n
     members = stored(
         found.join(wanted, found["sid"] == wanted["_sid"]).select("cluster", "sid", "of", "n_shingles"), "members"
     )
-    sets = stored(token_sets(docs, members.select("sid", "of"), width), "tokens")
-    pairs = links(members.select("cluster", "sid", "n_shingles"), sets, similarity)
-    moved = least_members(pairs, "links").withColumnsRenamed({"a": "_sid", "b": "root"})
+    sets = stored(token_sets(docs, with_nodes(members), width), "tokens")
+    moved = least_members(links(sets, similarity), "links").withColumnsRenamed({"a": "_sid", "b": "root"})
     rooted = reps.select("sid", "least").join(moved, F.col("sid") == F.col("_sid"), "left").select(
         "sid", "least", F.coalesce("root", "sid").alias("root")
     )
@@ -422,19 +423,20 @@ def near_duplicates(docs: DataFrame, width: int = 3, similarity: float = 0.85, n
 
 
 def token_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """sid, tokens of the rows named in `wanted` (sid, of: doc_id and text hash).
+    """sid, nodes, tokens of the rows named in `wanted` (sid, nodes, of: doc_id and text hash).
 
     Only texts that a bitmap of the wanted keys lets through are shuffled for the join.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, "text", SHINGLED):
-            yield pa.record_batch([batch.column(0), _cut(*shingles(batch.column(1), width))], names=["sid", "tokens"])
+            tokens = _cut(*shingles(batch.column(2), width))
+            yield pa.record_batch([batch.column(0), batch.column(1), tokens], names=["sid", "nodes", "tokens"])
 
     keyed = docs.select(F.col("doc_id"), whole_text().alias("text")).withColumn("_hash", F.xxhash64("text"))
     near, _ = split_by_keys(keyed, ["doc_id", "_hash"], wanted.select("of.doc_id", "of._hash"))
     on = near["doc_id"].eqNullSafe(F.col("of.doc_id")) & (near["_hash"] == F.col("of._hash"))
-    return near.join(wanted, on).select("sid", "text").mapInArrow(run, "sid binary, tokens binary")
+    return near.join(wanted, on).select("sid", "nodes", "text").mapInArrow(run, "sid binary, nodes array<long>, tokens binary")
 
 
 def representatives(docs: DataFrame) -> DataFrame:
